@@ -13,6 +13,7 @@ it, so that large blocks get as many as they need and small ones no more.
 from __future__ import annotations
 
 import html
+import re
 import unicodedata
 import uuid
 from collections.abc import Iterator
@@ -22,7 +23,6 @@ from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,12 +41,20 @@ SIZES = (4, 8, 16, 32, 64)
 #: Characters of item texts that one pass holds in memory; more items take more passes over the documents.
 ITEM_CHARS = 4_000_000
 
-_MARKUP = regex.compile(r"<[^<>\n]{1,200}>|\[/?\p{L}+(?:=[^\[\]\n]{0,200})?\]")
-_UNSEEN = regex.compile(r"[\p{Mn}\p{Cf}\p{Cc}--[\t-\r]]+", flags=regex.V1)
-_WORD = regex.compile(r"[\p{L}\p{N}]+")
-_ASCII_WORD = regex.compile(r"[a-z0-9]+")
+_MARKUP = re.compile(r"<[^<>\n]{1,200}>|\[/?[^\W\d_]+(?:=[^\[\]\n]{0,200})?\]")
 
 
+class _Plain(dict):
+    """Letters and digits to their base letters in lower case, what is not seen to nothing, all else to a space."""
+
+    def __missing__(self, code: int) -> str:
+        parts = unicodedata.normalize("NFKD", unicodedata.normalize("NFKD", chr(code)).casefold())
+        plain = "".join(c if c.isalnum() else "" if unicodedata.category(c) in ("Mn", "Cf") or (unicodedata.category(c) == "Cc" and not c.isspace()) else " " for c in parts)
+        self[code] = plain
+        return plain
+
+
+_PLAIN = _Plain()
 def plain_words(text: str | None) -> list[str]:
     """Words without case, accents, markup and invisible characters, in compatible forms of Unicode."""
     if not text:
@@ -55,9 +63,7 @@ def plain_words(text: str | None) -> list[str]:
         text = html.unescape(text)
     if "<" in text or "[" in text:
         text = _MARKUP.sub(" ", text)
-    if text.isascii():
-        return _ASCII_WORD.findall(text.lower())
-    return _WORD.findall(_UNSEEN.sub("", unicodedata.normalize("NFKD", text.casefold())).casefold())
+    return text.translate(_PLAIN).split()
 
 
 def hashes_needed(block: int, query: int = PASSAGE_WORDS - 1, shared: int = WINDOW_SHARED, miss: float = MISS) -> int:
@@ -147,7 +153,7 @@ class ItemIndex:
             block = places[at[np.searchsorted(at, start) : np.searchsorted(at, start + width)]]
             if len(block) < WINDOW_SHARED:
                 continue
-            distinct = np.unique(block)
+            distinct = np.array(sorted(set(block.tolist())))
             if len(distinct) < WINDOW_SHARED:
                 continue
             hashes = hashes_needed(next(s for s in SIZES if len(distinct) <= s))
@@ -173,7 +179,9 @@ class ItemIndex:
         one distance; the same words in another order do not.
         """
         own = self.shingles[n]
-        at = np.flatnonzero(np.isin(places, own))
+        here = np.zeros(len(self.pairs) + 1, dtype=bool)
+        here[own] = True
+        at = np.flatnonzero(here[places])  # no shingle is -1, the last place
         if len(at) < WINDOW_SHARED:
             return None
         here, there = np.nonzero(places[at][:, None] == own[None, :])
