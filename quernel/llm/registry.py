@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quernel.llm.encoding import encode_corpus
 from quernel.llm.leakage import find_leaks
+from quernel.llm.pii import find_personal, redact_documents
 from quernel.session import table
 
 
@@ -19,8 +20,16 @@ def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     return find_leaks(table(spark, sf, "documents"), table(spark, sf, "eval_items"))
 
 
+def p10_found(spark: SparkSession, sf: str) -> DataFrame:
+    return find_personal(table(spark, sf, "documents")).select("doc_id", "pii_type", "start_pos")
+
+
+def p10_redacted(spark: SparkSession, sf: str) -> DataFrame:
+    return redact_documents(table(spark, sf, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p8_ids, p9_found)}
+    return {f.__name__: f for f in (p8_ids, p9_found, p10_found, p10_redacted)}
 
 
 def oracle_sql() -> dict[str, str]:
