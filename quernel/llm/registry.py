@@ -7,11 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quernel.llm.encoding import encode_corpus
+from quernel.llm.fusion import fuse_records, surviving_records
 from quernel.llm.leakage import find_leaks
 from quernel.llm.pii import find_personal, redact_documents
 from quernel.session import table
 
 
+#: Fields that say one thing together and are taken from one source.
+BUNDLES = {"levels": ["minLevel", "maxLevel"], "quest_levels": ["questLevel", "requiredLevel"], "place": ["zoneID", "spawns"]}
+
+
+def p2_found(spark: SparkSession, sf: str) -> DataFrame:
+    fused = fuse_records(table(spark, sf, "source_records"), table(spark, sf, "field_policy"))
+    return fused.filter("n_values > 1").select("entity_type", "entity_id", "field", "source")
+
+
+def p2_survivors(spark: SparkSession, sf: str) -> DataFrame:
+    """One record per entity, with dependent fields from one source."""
+    fused = fuse_records(table(spark, sf, "source_records"), table(spark, sf, "field_policy"), BUNDLES, [("name", "rank"), ("zoneID", "factionID")])
+    return surviving_records(fused)
+
+
 def p8_ids(spark: SparkSession, sf: str) -> DataFrame:
     return encode_corpus(table(spark, sf, "documents"))
 
@@ -29,7 +45,7 @@ def p10_redacted(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p8_ids, p9_found, p10_found, p10_redacted)}
+    return {f.__name__: f for f in (p2_found, p2_survivors, p8_ids, p9_found, p10_found, p10_redacted)}
 
 
 def oracle_sql() -> dict[str, str]:
