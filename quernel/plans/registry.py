@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quernel.plans import compaction, compare_copies, hierarchy, nested, references, snapshots
+from quernel.plans import compaction, compare_copies, hierarchy, nested, reconciliation, references, snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Modules with a list QUERIES and, where SQL can express them, a dict SQL.
+MODULES = [reconciliation]
+
 
 def queries() -> dict[str, Query]:
     found = [
@@ -26,8 +29,8 @@ def queries() -> dict[str, Query]:
         hierarchy.p7_paths,
         hierarchy.p7_descendants,
     ]
-    return {f.__name__: f for f in found}
+    return {f.__name__: f for f in [*found, *(q for m in MODULES for q in m.QUERIES)]}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for m in MODULES for name, sql in m.SQL.items()}
