@@ -138,7 +138,8 @@ def shared_inlining(df: DataFrame, key: str, root: str, shared: dict[str, str] |
                 elif not repeated and name not in kinds:
                     inline(inner, here, below, f"{prefix}{f.name}_")
                 else:
-                    nested.append((here, inner, below, f.name))
+                    # the way from this table's element, also through inlined ones
+                    nested.append((here, inner, below, below[len(path) + 1 if path else 0 :].replace(".", "/")))
 
         names, used = shared or {}, list(keep)
         if struct is not None:
