@@ -172,27 +172,34 @@ class ItemIndex:
                     found.setdefault(n, []).append(start)
         return found
 
-    def stretch(self, n: int, places: np.ndarray) -> tuple[int, int] | None:
-        """Where shingles of item n stand at about the same distance from their place in the item, with margins; None if too few do.
+    def stretches(self, n: int, places: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Where shingles of item n stand at about the same distance from their place in the item, with margins.
 
         A passage of a dozen words with two altered, added or left out keeps 7 shingles within 2 places of
-        one distance; the same words in another order do not.
+        one distance and 12 of the item; the same words in another order do not.
         """
         own = self.shingles[n]
         here = np.zeros(len(self.pairs) + 1, dtype=bool)
         here[own] = True
         at = np.flatnonzero(here[places])  # no shingle is -1, the last place
         if len(at) < WINDOW_SHARED:
-            return None
+            return
         here, there = np.nonzero(places[at][:, None] == own[None, :])
-        apart = at[here] - there + len(own)
-        counts = np.bincount(apart // 4)
+        apart = (at[here] - there + len(own)) // 4
+        counts = np.bincount(apart)
         counts = counts + np.append(counts[1:], 0)
-        if counts.max() < IN_ORDER:
-            return None
-        # words added or left out move the rest of a long passage; it stays within a few dozen places
-        near = at[here[np.abs(apart - 4 * int(counts.argmax()) - 4) <= 24]]
-        return int(near[0]) - 2 * PASSAGE_WORDS, int(near[-1]) + 2 * PASSAGE_WORDS
+        groups = np.flatnonzero(counts >= IN_ORDER)
+        seen: list[tuple[int, int]] = []
+        for group in groups[np.argsort(-counts[groups], kind="stable")].tolist():
+            mine = (apart == group) | (apart == group + 1)
+            steps = np.sort(there[mine])
+            if (steps[IN_ORDER - 1 :] - steps[: 1 - IN_ORDER]).min() < 2 * PASSAGE_WORDS:
+                # words added or left out move the rest of a long passage; it stays within a few dozen places
+                near = at[here[np.abs(apart - group) <= 6]]
+                low, high = int(near[0]) - 2 * PASSAGE_WORDS, int(near[-1]) + 2 * PASSAGE_WORDS
+                if not any(a <= low and high <= b for a, b in seen):
+                    seen.append((low, high))
+                    yield low, high
 
     def search(self, ids: np.ndarray) -> list[object]:
         """Keys of the items of which a passage stands in a document of these word ids."""
@@ -207,11 +214,8 @@ class ItemIndex:
                     continue
                 low, high = max(0, start - reach), start + 2 * reach
                 done = start + reach - SIZES[-1]
-                near = self.stretch(n, places[low:high])
-                if near is None:
-                    continue
-                score, running = alignment(item, ids[max(0, low + near[0]) : low + near[1]])
-                if score >= LEAST_SCORE and running >= PASSAGE_WORDS:
+                scores = (alignment(item, ids[max(0, low + a) : low + b]) for a, b in self.stretches(n, places[low:high]))
+                if any(score >= LEAST_SCORE and running >= PASSAGE_WORDS for score, running in scores):
                     found.append(key)
                     break
         return found
