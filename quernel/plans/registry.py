@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quernel.plans import compaction, compare_copies, hierarchy, nested, operations, reconciliation, references, snapshots
+from quernel.plans import compaction, compare_copies, hierarchy, nested, operations, problem_sql, reconciliation, references, snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,4 +33,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for m in MODULES for name, sql in m.SQL.items()}
+    return problem_sql.SQL | {name: sql for m in MODULES for name, sql in m.SQL.items()}
