@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quernel.plans import compaction, compare_copies, hierarchy, nested, operations, problem_sql, reconciliation, references, snapshots
+from quernel.plans import compaction, compare_copies, hierarchy, nested, operations, problem_sql, reconciliation, records, references, snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 #: Modules with a list QUERIES and, where SQL can express them, a dict SQL.
-MODULES = [reconciliation, operations]
+MODULES = [reconciliation, operations, records]
 
 
 def queries() -> dict[str, Query]:
