@@ -50,16 +50,19 @@ def dangling_edges(spark: SparkSession, sf: str) -> DataFrame:
     return found.groupBy("kind").agg(F.count("*").alias("n_dangling"))
 
 
-@query("""SELECT from_id, to_id, CASE WHEN count(DISTINCT source) FILTER (source = 'questiedb') = 0 THEN 'rightOnly' WHEN count(*) FILTER (source = 'allthethings') = 0 THEN 'leftOnly' ELSE 'equal' END AS status
-    FROM relationships WHERE source IN ('questiedb', 'allthethings') GROUP BY from_id, to_id""")
+_EDGE_SIDES = "WITH s AS (SELECT min(source) AS lo, max(source) AS hi FROM relationships), c AS (SELECT from_id, to_id, bool_or(source = lo) AS l, bool_or(source = hi) AS r FROM relationships, s WHERE source IN (lo, hi) GROUP BY from_id, to_id)"
+
+
+@query(f"{_EDGE_SIDES} SELECT from_id, to_id, CASE WHEN NOT r THEN 'leftOnly' WHEN NOT l THEN 'rightOnly' ELSE 'equal' END AS status FROM c")
 def compare_edges(spark: SparkSession, sf: str) -> DataFrame:
+    """Edges of the first source in order of name against those of the last one."""
     edges = table(spark, sf, "relationships")
+    first, last = edges.agg(F.min("source"), F.max("source")).first()
     side = lambda s: edges.filter(F.col("source") == s).select("from_id", "to_id").distinct()
-    return joins.compare_keys(side("questiedb"), side("allthethings"), ["from_id", "to_id"])
+    return joins.compare_keys(side(first), side(last), ["from_id", "to_id"])
 
 
-@query("""WITH e AS (SELECT DISTINCT from_id, to_id, source FROM relationships), c AS (SELECT from_id, to_id, max(source = 'questiedb') AS l, max(source = 'allthethings') AS r FROM e WHERE source IN ('questiedb', 'allthethings') GROUP BY ALL)
-    SELECT CASE WHEN NOT r THEN 'leftOnly' WHEN NOT l THEN 'rightOnly' ELSE 'equal' END AS status, count(*) AS n FROM c GROUP BY 1""")
+@query(f"{_EDGE_SIDES} SELECT CASE WHEN NOT r THEN 'leftOnly' WHEN NOT l THEN 'rightOnly' ELSE 'equal' END AS status, count(*) AS n FROM c GROUP BY 1")
 def compare_counts(spark: SparkSession, sf: str) -> DataFrame:
     return compare_edges(spark, sf).groupBy("status").agg(F.count("*").alias("n"))
 
@@ -190,7 +193,7 @@ def retention(spark: SparkSession, sf: str) -> DataFrame:
     return aggregates.retention(events.filter(F.day("ts") <= 15), events.filter(F.day("ts") > 15), ["event_type", "user_id"])
 
 
-@query("""SELECT event_id, user_id, sum(event_id % 7 + 1) OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS absolute_id FROM events""")
+@query("""SELECT event_id, user_id, CAST(sum(event_id % 7 + 1) OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS BIGINT) AS absolute_id FROM events""")
 def running_ids(spark: SparkSession, sf: str) -> DataFrame:
     return aggregates.running_ids(table(spark, sf, "events"), "user_id", "event_id", F.col("event_id") % 7).select("event_id", "user_id", "absolute_id")
 
@@ -314,7 +317,7 @@ def page_links(spark: SparkSession, sf: str) -> DataFrame:
     return urls.select("doc_id", path.alias("path"), number.alias("number")).groupBy("doc_id", "path", "number").agg(F.count("*").alias("n"))
 
 
-@query("""SELECT l_orderkey, sum(a) AS a, sum(b) AS b FROM (SELECT l_orderkey, CAST(round(l_discount * 100) AS BIGINT) AS a, CAST(round(l_tax * 100) AS BIGINT) AS b FROM lineitem) WHERE a <> 0 OR b <> 0 GROUP BY 1""")
+@query("""SELECT l_orderkey, CAST(sum(a) AS BIGINT) AS a, CAST(sum(b) AS BIGINT) AS b FROM (SELECT l_orderkey, CAST(round(l_discount * 100) AS BIGINT) AS a, CAST(round(l_tax * 100) AS BIGINT) AS b FROM lineitem) WHERE a <> 0 OR b <> 0 GROUP BY 1""")
 def pair_decode(spark: SparkSession, sf: str) -> DataFrame:
     lists = table(spark, sf, "lineitem").select("l_orderkey", F.array(F.array(cents("l_discount"), cents("l_tax"))).alias("_p"))
     return lists.select("l_orderkey", F.explode(scalars.pairs(F.col("_p"))).alias("_p")).groupBy("l_orderkey").agg(F.sum("_p.a").alias("a"), F.sum("_p.b").alias("b"))

@@ -28,8 +28,8 @@ KINDS = {"q": "quest", "n": "npc", "i": "item", "o": "object", "ach": "achieveme
 INHERITED = ("races", "classes", "lvl", "requireSkill")
 #: Names of later expansions; all data is before them.
 LATER = ("TBC", "WRATH", "CATA", "MOP", "WOD", "LEGION", "BFA", "SL", "DF", "TWW", "MID")
-#: Names of the phase the data is in.
-NOW = ("CLASSIC", "FOREVER")
+#: Names of the phase the data is in; its own tag can be added by the caller's tags.
+NOW = ("CLASSIC",)
 
 _DIRECTIVE = re.compile(r"(?im)^[ \t]*--[ \t]*#(if|elseif|elif|else|endif)\b[ \t]*([^\r\n]*)")
 

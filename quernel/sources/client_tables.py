@@ -52,7 +52,7 @@ def alias_fields(entity_type: Column, attributes: Column) -> Column:
 
 
 def table_records(lines: DataFrame) -> DataFrame:
-    """Records of the rows of known tables: source foreverclient, revision by build; rows of other tables are left out.
+    """Records of the rows of known tables: source as the header says, revision by build; rows of other tables are left out.
 
     The header of a file is joined to its rows; one row per file, so the join stays as wide as there are files.
     """

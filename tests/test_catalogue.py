@@ -5,7 +5,7 @@ import pytest
 from quernel.sources import catalogue as c
 from quernel.sources.lua import LuaError
 
-TAGS = frozenset({"FOREVER", "OBJECTIVES"})
+TAGS = frozenset({"CURRENT", "OBJECTIVES"})
 
 NESTED = """root({
 	n(100, { -- Test NPC
@@ -37,7 +37,7 @@ def test_spans_labels_fields_and_containment(spark):
 
 
 def test_branches_keep_places():
-    text = "-- #if AFTER TBC\nq(300)\n-- #elseif FOREVER\nq(301)\n-- #if NOT OBJECTIVES\nq(302)\n-- #else\nq(303)\n-- #endif\n-- #endif\nq(304)"
+    text = "-- #if AFTER TBC\nq(300)\n-- #elseif CURRENT\nq(301)\n-- #if NOT OBJECTIVES\nq(302)\n-- #else\nq(303)\n-- #endif\n-- #endif\nq(304)"
     out = c.blank_branches(text, TAGS, (1, 60))
     assert len(out) == len(text) and [n for n in range(300, 305) if f"q({n})" in out] == [301, 303, 304]
     assert out.index("q(303)") == text.index("q(303)")
@@ -45,8 +45,8 @@ def test_branches_keep_places():
         with pytest.raises(LuaError):
             c.blank_branches(bad, TAGS, ())
     holds = lambda x: c.applies(x, TAGS, (1, 60, 1))
-    assert holds("FOREVER") and holds("BEFORE WRATH") and holds("AFTER CLASSIC") and holds("AFTER 1.60") and holds("BEFORE 1.60.2") and holds("NOT AFTER CATA")
-    assert not holds("") and not holds("AFTER 2") and not holds("BEFORE FOREVER") and not holds("SOMETHING") and not holds("AFTER x.y")
+    assert holds("CURRENT") and holds("BEFORE WRATH") and holds("AFTER CLASSIC") and holds("AFTER 1.60") and holds("BEFORE 1.60.2") and holds("NOT AFTER CATA")
+    assert not holds("") and not holds("AFTER 2") and not holds("BEFORE CLASSIC") and not holds("SOMETHING") and not holds("AFTER x.y")
 
 
 def test_constants_inheritance_and_evidence():

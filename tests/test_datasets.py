@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from quernel.sources.datasets import DatasetError, compare_trees, parse_lines, read_dataset, record_errors, write_dataset
 
 SCHEMA = "schema_version int, flavor string, entity_type string, entity_id string, source string, source_revision string, attributes map<string,string>, field_states map<string,string>, provenance map<string,struct<source:string,revision:string,sources:array<struct<source:string,revision:string>>,path:string,provider:string,selection_rule:string>>"
-MANIFEST = {"flavor": "forever", "source": "s", "sourceRevision": "r", "generatedAt": "2024-01-01T00:00:00+00:00"}
+MANIFEST = {"flavor": "main", "source": "s", "sourceRevision": "r", "generatedAt": "2024-01-01T00:00:00+00:00"}
 
 
 def record(i, attributes=None, states=None, **other):
-    row = dict(schema_version=1, flavor="forever", entity_type="quest", entity_id=str(i), source="s", source_revision="r", attributes=attributes or {}, field_states=states, provenance={"x": ("s", "r", [("s", "r")], None, None, None)} if attributes and "x" in attributes else None) | other
+    row = dict(schema_version=1, flavor="main", entity_type="quest", entity_id=str(i), source="s", source_revision="r", attributes=attributes or {}, field_states=states, provenance={"x": ("s", "r", [("s", "r")], None, None, None)} if attributes and "x" in attributes else None) | other
     return tuple(row.values())
 
 

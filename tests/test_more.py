@@ -22,7 +22,7 @@ def test_edges_of_records(spark):
 
 
 def test_client_tables(spark, tmp_path):
-    head = {"kind": "table", "schemaVersion": 1, "source": "foreverclient", "table": "Faction", "clientBuild": 70338, "definitionSha256": "d"}
+    head = {"kind": "table", "schemaVersion": 1, "source": "client", "table": "Faction", "clientBuild": 70338, "definitionSha256": "d"}
     rows = [{"kind": "record", "id": 1, "fields": {"Name_lang": "Alliance", "flags": 18446744073709551615}}, {"kind": "record", "id": 2, "fields": {"Name_lang": "", "text": None}}]
     (tmp_path / "Faction.jsonl").write_text("\n".join(json.dumps(x) for x in [head, *rows]) + "\n")
     (tmp_path / "Bad.jsonl").write_text("\n".join(["", json.dumps(rows[0]), json.dumps(rows[0]), '{"kind":"record"}']) + "\n")

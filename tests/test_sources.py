@@ -115,6 +115,6 @@ def test_definitions():
     for bad in ("COLUMNS\nodd X\n", "COLUMNS\nint X\n\nBUILD 1.2\nX\n", "COLUMNS\nint X\n\nBUILD 1.2.3.4\nY\n", ""):
         with pytest.raises(binary.BinaryError):
             binary.parse_definition(bad)
-    rows = binary.build_info("Branch!STRING:0|Active!DEC:1|Product!STRING:0\neu|1|wow\nus|0|wow\n", "wow")
-    assert rows == [{"Branch": "eu", "Active": "1", "Product": "wow"}]
+    rows = binary.build_info("Branch!STRING:0|Active!DEC:1|Product!STRING:0\neu|1|game\nus|0|game\n", "game")
+    assert rows == [{"Branch": "eu", "Active": "1", "Product": "game"}]
     assert binary.index_bucket(bytes([0x12, 0x34])) == ((0x26 & 15) ^ 2)
