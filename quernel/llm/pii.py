@@ -322,6 +322,8 @@ def features(text: str, low: str, kind: str, start: int, end: int, form: int) ->
         title = re.search(r"(\w+)\W*$", left)
         small = family.lower()
         row += [float(family[:1].isupper()), float(family.isupper()), float(len(family)), float(any(p.endswith(_ENDINGS) for p in small.split("-"))), float(small.endswith(_GAME_ENDINGS)), float("-" in family), float(title is not None and title[1] in TITLES), float(words[0][:1].isupper() == family[:1].isupper()) if words else 0.0, float(span.islower()), float(bool(re.match(rf" (?:{_WAY_EN})\b", right))), float(re.match(r"\d|\w*\d", left[-3:].strip()) is not None), float(small in SMALL_WORDS or len(small) < 4), float(bool(re.search(r"[.!?] $|^$", left)))]
+        # whether a word runs into it: an initial behind a given name is not the start
+        row.append(float(left[-1:] == " " and left[-2:-1].isalpha()))
     return row
 
 
