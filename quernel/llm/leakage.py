@@ -32,7 +32,9 @@ PASSAGE_WORDS = 12
 WINDOW_SHARED = 5
 #: And so many must be in order: two altered words leave 7 or more.
 IN_ORDER = 7
-#: An alignment scores 1 for a word that fits, -1 for one altered, added or left out.
+#: A span of a passage has at most one word in so many altered, added or left out: two in a dozen.
+WORDS_AN_EDIT = 5
+#: Long passages with more edits count by their local alignment: 1 for a word that fits, -1 for one altered, added or left out.
 LEAST_SCORE = 10
 #: A window that has its share is missed by the hashing with at most this probability; a passage has several windows.
 MISS = 1e-4
@@ -97,6 +99,44 @@ def alignment(item: np.ndarray, words: np.ndarray) -> tuple[int, int]:
     return score, last - int(i)
 
 
+def has_passage(item: np.ndarray, words: np.ndarray) -> bool:
+    """Whether some span of PASSAGE_WORDS or more running words of the item stands in words, aligned from end to end.
+
+    At most one word in WORDS_AN_EDIT of the span is altered, added or left out. The first and the last word of
+    the span stand as they are: with an altered one there it is a shorter quotation. The score is the words
+    of the item less WORDS_AN_EDIT for each edit; unlike a local alignment it may fall below zero on the way.
+    """
+    never = -(1 << 20)
+    along = WORDS_AN_EDIT * np.arange(len(words) + 1, dtype=np.int32)
+    # rows: words of the item so far, the last for PASSAGE_WORDS or more; columns: words of the document
+    table = np.full((PASSAGE_WORDS, len(words) + 1), never, dtype=np.int32)
+    for word in item.tolist():
+        same = words == word
+        before = table.copy()
+        np.maximum(before[-2], before[-1], out=before[-1])
+        if (before[-1, :-1][same] >= -1).any():
+            return True
+        table[1:-1] = before[:-2] + (1 - WORDS_AN_EDIT)
+        table[-1] = before[-1] + (1 - WORDS_AN_EDIT)
+        step = np.where(same, 1, 1 - WORDS_AN_EDIT)
+        np.maximum(table[1:-1, 1:], before[:-2, :-1] + step, out=table[1:-1, 1:])
+        np.maximum(table[-1, 1:], before[-1, :-1] + step, out=table[-1, 1:])
+        table[0] = never
+        table[0, 1:][same] = 1
+        # words added in the document
+        table = np.maximum.accumulate(table + along, axis=1) - along
+    return False
+
+
+def leaked(item: np.ndarray, words: np.ndarray) -> bool:
+    """Whether a passage of the item stands in words: edited here and there, or long enough to bear more edits."""
+    score, running = alignment(item, words)
+    if score >= LEAST_SCORE and running >= PASSAGE_WORDS:
+        return True
+    # an edit costs the alignment two at most, so no passage scores less
+    return score >= PASSAGE_WORDS - 2 * (PASSAGE_WORDS // WORDS_AN_EDIT) and has_passage(item, words)
+
+
 @dataclass
 class ItemIndex:
     """Windows of items as MinHash signatures over the shingles that items have."""
@@ -214,8 +254,7 @@ class ItemIndex:
                     continue
                 low, high = max(0, start - reach), start + 2 * reach
                 done = start + reach - SIZES[-1]
-                scores = (alignment(item, ids[max(0, low + a) : low + b]) for a, b in self.stretches(n, places[low:high]))
-                if any(score >= LEAST_SCORE and running >= PASSAGE_WORDS for score, running in scores):
+                if any(leaked(item, ids[max(0, low + a) : low + b]) for a, b in self.stretches(n, places[low:high])):
                     found.append(key)
                     break
         return found

@@ -133,6 +133,25 @@ def test_leaks(spark):
     assert find_leaks(docs(spark, ITEM), items.limit(0)).collect() == []
 
 
+def test_leaks_of_a_dozen_words_with_edits(spark):
+    from itertools import combinations
+
+    words = ITEM.split()
+    edits = {"altered": lambda w, n: [*w[:n], "xyzzy", *w[n + 1 :]], "left out": lambda w, n: [*w[:n], *w[n + 1 :]], "added": lambda w, n: [*w[:n], "xyzzy", *w[n:]]}
+    cases = []
+    for size in (12, 13):
+        passage = words[4 : 4 + size]
+        # an edit of the first or last word of twelve leaves a shorter quotation
+        cases += [(edit(passage, n), size > 12 or kind == "added") for kind, edit in edits.items() for n in (0, size - 1)]
+        cases += [(edit(passage, n), True) for edit in edits.values() for n in range(1, size - 1)]
+        cases += [(edit(edit(passage, b), a), True) for edit in edits.values() for a, b in combinations(range(1, size - 1), 2)]
+    cases += [(words[4:15], False), (edits["altered"](words[4:15], 5), False), (edits["altered"](edits["altered"](edits["altered"](words[4:16], 3), 6), 9), False)]
+    texts = ["lorem ipsum " * 9 + " ".join(w) + " dolor sit" * 9 for w, _ in cases]
+    items = spark.createDataFrame([(7, ITEM)], "item_id long, text string")
+    found = {r.doc_id for r in find_leaks(docs(spark, *texts), items).collect()}
+    assert found == {n for n, (_, leaks) in enumerate(cases) if leaks}
+
+
 def test_leaks_in_several_passes(spark, monkeypatch):
     from quernel.llm import leakage
 
