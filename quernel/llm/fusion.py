@@ -8,6 +8,8 @@ trust, among those that respect the given functional dependencies, is found by b
 from __future__ import annotations
 
 import unicodedata
+from collections import Counter
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -21,6 +23,9 @@ UNUSABLE = ("missing", "unsupported", "unavailable", "invalid", "conflicting")
 
 Bundles = dict[str, list[str]]
 
+#: Where unlisted sources count, sums are whole numbers in which a higher power of this goes before all lower ones.
+_STEP = 1 << 60
+
 
 @F.pandas_udf(T.StringType())
 def _composed(texts: pd.Series) -> pd.Series:
@@ -40,7 +45,7 @@ def value_key(value: Column) -> Column:
 
 
 def usable_values(records: DataFrame) -> DataFrame:
-    """entity_type, entity_id, source, field, value, key of the usable values of each source's latest record.
+    """entity_type, entity_id, source, generated_at, field, value, key of the usable values of each source's latest record.
 
     The latest record has the greatest generated_at (null is oldest), then delivered_at, then row_id; unless
     it is present it has no values. A value is usable unless it is SQL or JSON null, an empty text or list,
@@ -51,23 +56,29 @@ def usable_values(records: DataFrame) -> DataFrame:
     order = Window.partitionBy(*names).orderBy(F.col("generated_at").desc_nulls_last(), F.col("delivered_at").desc_nulls_last(), F.col("row_id").desc_nulls_last())
     kept = records.select(*names, "generated_at", "delivered_at", "row_id", "record_status", "attributes", "field_states").dropna(subset=names)
     latest = kept.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1 AND record_status = 'present'")
-    long = latest.select(*names, "field_states", F.explode("attributes").alias("field", "value"))
+    long = latest.select(*names, "generated_at", "field_states", F.explode("attributes").alias("field", "value"))
     state = F.coalesce(F.col("field_states")[F.col("field")], F.lit(""))
-    long = long.filter(F.col("value").isNotNull() & ~state.isin(*UNUSABLE)).select(*names, "field", "value", value_key(F.col("value")).alias("key"))
+    long = long.filter(F.col("value").isNotNull() & ~state.isin(*UNUSABLE)).select(*names, "generated_at", "field", "value", value_key(F.col("value")).alias("key"))
     return long.filter(~F.col("key").isin("null", '""', "[]", ""))
 
 
-def choose_sources(values: list[tuple[str, str, str, int | None]], bundles: Bundles, dependencies: list[tuple[str, str]]) -> list[tuple[str, str]]:
+def choose_sources(values: list[tuple[str, str, str, int | None]], bundles: Bundles, dependencies: list[tuple[str, str]], order: list[str] | None = None) -> list[tuple[str, str]]:
     """(field, source) of one entity, by branch and bound.
 
     values: (field, source, key, priority), priority None where the source is not listed for the field; such
-    values cannot be chosen. A source's trust for a field is 1 / priority, for a bundle the sum over the
+    values cannot be chosen, unless the order of unlisted sources, best first, is given. A source's trust for a field is 1 / priority, for a bundle the sum over the
     fields it has. A dependency (a, b) asks that the chosen value of b stands beside the chosen value of a
     in some source, if any source that has that value of a has b at all. A bundle that no choice fits is
     left empty. Of equal sums the first in order of source counts.
+
+    With an order every field survives that the dependencies allow: what counts is the number of fields, then the
+    fewest sources in a bundle (the members its source lacks come from another), then trust, then the order.
     """
     held = {(f, s): k for f, s, k, _ in values}
     trust = {(f, s): 1.0 / p for f, s, _, p in values if p is not None and p > 0}
+    if order is not None:
+        last = {s: len(order) - n for n, s in enumerate(order)}
+        trust = {(f, s): _STEP**3 + (round(trust[f, s] * 10**9) * _STEP if (f, s) in trust else last[s]) for f, s in held}
     in_bundle = {f: name for name, fields in bundles.items() for f in fields}
     groups: dict[str, list[str]] = {}
     for f in sorted({f for f, _ in trust}):
@@ -77,21 +88,39 @@ def choose_sources(values: list[tuple[str, str, str, int | None]], bundles: Bund
         for (f, s), k in held.items():
             if f == a and (b, s) in held:
                 together.setdefault((a, k, b), set()).add(held[b, s])
+
+    def taken(fields: list[str], sources: tuple[str, ...]) -> dict[str, str]:
+        """Each field from the first of the sources that has it."""
+        return {f: s for s in reversed(sources) for f in fields if (f, s) in trust}
+
+    def covers(fields: list[str], sources: tuple[str, ...] = ()) -> Iterator[tuple[str, ...]]:
+        """Sources in turn, each with members that those before it lack, until no member is left."""
+        left = [f for f in fields if not any((f, s) in trust for s in sources)]
+        for s in sorted({s for f, s in trust if f in left}):
+            yield from covers(fields, (*sources, s))
+        if not left:
+            yield sources
+
     options = []
     for fields in groups.values():
-        of: dict[str, float] = {}
-        for f, s in trust:
-            if f in fields:
-                of[s] = of.get(s, 0.0) + trust[f, s]
+        of: dict[tuple[str, ...], float] = {}
+        if order is not None and len(fields) > 1:
+            for sources in covers(fields):
+                of[sources] = sum(trust[x] for x in taken(fields, sources).items()) - (len(sources) - 1) * _STEP**2
+        else:
+            for f, s in trust:
+                if f in fields:
+                    of[s,] = of.get((s,), 0) + trust[f, s]
         options.append((fields, sorted(of.items(), key=lambda o: (-o[1], o[0]))))
     # bundles under a dependency first, so that a conflict shows early; then the weighty ones
     bound_fields = {f for d in dependencies for f in d}
     options.sort(key=lambda o: (not bound_fields & set(o[0]), -o[1][0][1], o[0]))
-    rest = [0.0]
+    rest = [0]
     for _, of in reversed(options):
         rest.append(rest[-1] + of[0][1])
     rest.reverse()
-    best: tuple[float, list[str | None]] = (-1.0, [])
+    best: tuple[float, list[tuple[str, ...] | None]] = (-1, [])
+    rounding = 1e-12 if order is None else 0
 
     def fits(chosen: dict[str, str]) -> bool:
         for a, b in dependencies:
@@ -101,46 +130,54 @@ def choose_sources(values: list[tuple[str, str, str, int | None]], bundles: Bund
                     return False
         return True
 
-    def branch(n: int, total: float, picks: list[str | None], chosen: dict[str, str]) -> None:
+    def branch(n: int, total: float, picks: list[tuple[str, ...] | None], chosen: dict[str, str]) -> None:
         nonlocal best
-        if total + rest[n] <= best[0] + 1e-12:
+        if total + rest[n] <= best[0] + rounding:
             return
         if n == len(options):
             best = (total, picks)
             return
         fields, of = options[n]
-        for source, gain in of:
-            more = chosen | {f: source for f in fields if (f, source) in trust}
+        for sources, gain in of:
+            more = chosen | taken(fields, sources)
             if not bound_fields or fits(more):
-                branch(n + 1, total + gain, [*picks, source], more)
+                branch(n + 1, total + gain, [*picks, sources], more)
         if bound_fields:
             branch(n + 1, total, [*picks, None], chosen)
 
-    branch(0, 0.0, [], {})
-    return [(f, s) for (fields, _), s in zip(options, best[1], strict=False) if s is not None for f in fields if (f, s) in trust]
+    branch(0, 0, [], {})
+    return [x for (fields, _), sources in zip(options, best[1], strict=False) if sources is not None for x in taken(fields, sources).items()]
 
 
 _CHOICE = T.ArrayType(T.StructType([T.StructField("field", T.StringType()), T.StructField("source", T.StringType())]))
 
 
-def fuse_records(records: DataFrame, policy: DataFrame, bundles: Bundles | None = None, dependencies: list[tuple[str, str]] | None = None) -> DataFrame:
+def fuse_records(records: DataFrame, policy: DataFrame, bundles: Bundles | None = None, dependencies: list[tuple[str, str]] | None = None, unlisted: bool = False) -> DataFrame:
     """entity_type, entity_id, field, source, value, n_values: the surviving value of every field.
 
     policy: entity_type, field, source, priority (1 is first). n_values counts the different usable values of
     the field over all sources, also unlisted ones. An entity's values are one per source and field, which
-    bounds what is brought together for the search. Fields that no listed source has are left out.
+    bounds what is brought together for the search. Fields that no listed source has are left out, unless
+    unlisted: then sources that are not listed for a field come after all listed ones, the latest generated_at
+    first (null is oldest), then the most usable fields, then the name.
     """
     bundles, dependencies = bundles or {}, dependencies or []
     entity = ["entity_type", "entity_id"]
     ranks = policy.dropna(subset=["entity_type", "field", "source", "priority"]).groupBy("entity_type", "field", "source").agg(F.min("priority").alias("priority"))
     values = usable_values(records).join(ranks, ["entity_type", "field", "source"], "left")
-    grouped = values.groupBy(*entity).agg(F.collect_list(F.struct("field", "source", "key", "priority", "value")).alias("held"))
+    age = [F.unix_micros(F.col("generated_at").cast("timestamp")).alias("at")] if unlisted else []
+    grouped = values.groupBy(*entity).agg(F.collect_list(F.struct("field", "source", "key", "priority", "value", *age)).alias("held"))
 
     @F.pandas_udf(_CHOICE)
     def choose(held: pd.Series) -> pd.Series:
         def one(rows: list[dict]) -> list[dict]:
             wanted = [(r["field"], r["source"], r["key"], None if pd.isna(r["priority"]) else int(r["priority"])) for r in rows]
-            return [{"field": f, "source": s} for f, s in choose_sources(wanted, bundles, dependencies)]
+            order = None
+            if unlisted:
+                fields = Counter(r["source"] for r in rows)
+                at = {r["source"]: float("-inf") if pd.isna(r["at"]) else r["at"] for r in rows}
+                order = sorted(fields, key=lambda s: (-at[s], -fields[s], s))
+            return [{"field": f, "source": s} for f, s in choose_sources(wanted, bundles, dependencies, order)]
 
         return held.map(one)
 

@@ -23,8 +23,8 @@ def p2_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p2_survivors(spark: SparkSession, sf: str) -> DataFrame:
-    """One record per entity, with dependent fields from one source."""
-    fused = fuse_records(table(spark, sf, "source_records"), table(spark, sf, "field_policy"), BUNDLES, [("name", "rank"), ("zoneID", "factionID")])
+    """One record per entity with all its fields, dependent ones from one source; unlisted sources come last."""
+    fused = fuse_records(table(spark, sf, "source_records"), table(spark, sf, "field_policy"), BUNDLES, [("name", "rank"), ("zoneID", "factionID")], unlisted=True)
     return surviving_records(fused)
 
 

@@ -109,6 +109,28 @@ def test_branch_and_bound_keeps_dependencies():
         assert valid(got) and abs(sum(trust[f, s] for f, s in got.items()) - best) < 1e-9
 
 
+def test_unlisted_sources_come_last():
+    values = [("name", "a", "1", 2), ("name", "z", "2", None), ("flags", "z", "3", None), ("flags", "y", "4", None), ("min", "a", "5", 1), ("max", "z", "6", None)]
+    assert dict(choose_sources(values, {}, [])) == {"name": "a", "min": "a"}
+    got = dict(choose_sources(values, {"levels": ["min", "max"]}, [], ["z", "y", "a"]))
+    assert got == {"name": "a", "flags": "z", "min": "a", "max": "z"}
+    # a source that has the whole bundle goes before two that have more trust
+    assert dict(choose_sources([*values, ("min", "y", "7", 3), ("max", "y", "8", None)], {"levels": ["min", "max"]}, [], ["z", "y", "a"])) == {"name": "a", "flags": "z", "min": "y", "max": "y"}
+    # dependencies hold among unlisted sources too
+    kept = dict(choose_sources([("zip", "a", "1", None), ("city", "a", "X", None), ("zip", "b", "2", None), ("city", "b", "Y", 1)], {}, [("zip", "city")], ["a", "b"]))
+    assert kept == {"zip": "b", "city": "b"}
+
+
+@has_data
+def test_every_usable_field_survives(spark):
+    from quernel.llm.fusion import usable_values
+
+    records = spark.read.parquet(f"{SMALL}/source_records.parquet")
+    want = {tuple(r) for r in usable_values(records).select("entity_type", "entity_id", "field").distinct().collect()}
+    got = [(r.entity_type, r.entity_id, f) for r in registry.p2_survivors(spark, SMALL).collect() for f in r.attributes]
+    assert set(got) == want and len(got) == len(want)
+
+
 ITEM = "The sunken granary measures the painted archive beside the velvet archive and inherits the drowned anvil until dusk falls over nine hills"
 
 
