@@ -6,14 +6,12 @@ import json
 from collections.abc import Callable
 from decimal import Decimal
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Keys with up to this many leftover rows on either side are paired at least cost in one go.
-EXACT_GROUP = 64
-
 
 def _diff(left: dict, right: dict, path: str, found: list[str], equal: Callable[[object, object, dict, dict, str], bool]) -> None:
     for name in sorted(left.keys() | right.keys()):
@@ -67,7 +65,10 @@ def difference_paths(left: object, right: object, equal: Callable = _same) -> li
 
 def record_differences(left: str, right: str) -> list[str]:
     """Paths of two records {"a": attributes, "s": states}: plain for attributes, $fieldStates.<field> for states."""
-    a, b = _load(left), _load(right)
+    return _record_paths(_load(left), _load(right))
+
+
+def _record_paths(a: dict, b: dict) -> list[str]:
     return difference_paths(a["a"], b["a"]) + [f"$fieldStates.{p}" for p in difference_paths(a["s"], b["s"])]
 
 
@@ -76,51 +77,79 @@ def _record_differences(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([record_differences(a, b) for a, b in zip(left, right, strict=True)])
 
 
+def transport(cost: np.ndarray, supply: list[int], demand: list[int]) -> list[tuple[int, int, int]]:
+    """(row, column, how many) of least total cost that use up the shorter side: shortest augmenting paths with potentials.
+
+    Equal rows are one row with a supply, so the work grows with the different ones only.
+    """
+    if not len(supply) or not len(demand):
+        return []
+    if sum(supply) > sum(demand):
+        return sorted((r, c, n) for c, r, n in transport(cost.T, demand, supply))
+    cost = np.ascontiguousarray(cost, dtype=np.int64)
+    never = np.iinfo(np.int64).max // 4
+    u, v, free = np.zeros(len(supply), dtype=np.int64), np.zeros(len(demand), dtype=np.int64), np.array(demand, dtype=np.int64)
+    flow: list[dict[int, int]] = [{} for _ in demand]  # of each column, how many of which row
+    for source, wanted in enumerate(supply):
+        while wanted:
+            reached, via = {source: 0}, {source: -1}
+            far, back, open_ = np.full(len(demand), never), np.zeros(len(demand), dtype=np.int64), np.ones(len(demand), dtype=bool)
+            new, here = [source], 0
+            while True:
+                for row in new:
+                    through = here + cost[row] - u[row] - v
+                    less = open_ & (through < far)
+                    far[less], back[less] = through[less], row
+                at = int(np.where(open_, far, never).argmin())
+                here = int(far[at])
+                open_[at] = False
+                if free[at]:
+                    break
+                new = [row for row in flow[at] if row not in reached]
+                for row in new:
+                    reached[row], via[row] = here, at
+            for row, distance in reached.items():
+                u[row] += here - distance
+            v[~open_] -= here - far[~open_]
+            path, column = [], at
+            while column >= 0:
+                row = int(back[column])
+                path.append((row, column))
+                column = via[row]
+            # a row on the way gives up its place in the column before
+            much = min(wanted, int(free[at]), *(flow[via[row]][row] for row, _ in path if via[row] >= 0))
+            for row, column in path:
+                flow[column][row] = flow[column].get(row, 0) + much
+                if via[row] >= 0:
+                    flow[via[row]][row] -= much
+                    if not flow[via[row]][row]:
+                        del flow[via[row]][row]
+            free[at] -= much
+            wanted -= much
+    return sorted((row, column, n) for column, of in enumerate(flow) for row, n in of.items())
+
+
 def least_cost(cost: list[list[int]]) -> list[tuple[int, int]]:
-    """Pairs (row, column) of least total cost that use up the shorter side: shortest augmenting paths with potentials."""
+    """Pairs (row, column) of least total cost that use up the shorter side."""
     if not cost or not cost[0]:
         return []
-    if len(cost) > len(cost[0]):
-        return sorted((r, c) for c, r in least_cost([list(x) for x in zip(*cost, strict=True)]))
-    rows, columns = len(cost), len(cost[0])
-    u, v, match, back = [0] * (rows + 1), [0] * (columns + 1), [0] * (columns + 1), [0] * (columns + 1)
-    for row in range(1, rows + 1):
-        match[0], at = row, 0
-        slack, used = [float("inf")] * (columns + 1), [False] * (columns + 1)
-        while True:
-            used[at] = True
-            here, delta, best = match[at], float("inf"), 0
-            for c in range(1, columns + 1):
-                if not used[c]:
-                    reduced = cost[here - 1][c - 1] - u[here] - v[c]
-                    if reduced < slack[c]:
-                        slack[c], back[c] = reduced, at
-                    if slack[c] < delta:
-                        delta, best = slack[c], c
-            for c in range(columns + 1):
-                if used[c]:
-                    u[match[c]] += delta
-                    v[c] -= delta
-                else:
-                    slack[c] -= delta
-            at = best
-            if match[at] == 0:
-                break
-        while at:
-            match[at], at = match[back[at]], back[at]
-    return sorted((match[c] - 1, c - 1) for c in range(1, columns + 1) if match[c])
-
-
-_PAIRS = T.ArrayType(T.StructType([T.StructField("left", T.StringType()), T.StructField("right", T.StringType())]))
+    return [(r, c) for r, c, _ in transport(np.array(cost), [1] * len(cost), [1] * len(cost[0]))]
+
+
+_PAIRS = T.ArrayType(T.StructType([T.StructField("left", T.StringType()), T.StructField("right", T.StringType()), T.StructField("n", T.LongType())]))
 
 
 @F.pandas_udf(_PAIRS)
 def _assign(lefts: pd.Series, rights: pd.Series) -> pd.Series:
-    def one(a: list[str], b: list[str]) -> list[dict]:
-        a, b = sorted(a), sorted(b)
-        pairs = least_cost([[len(record_differences(x, y)) for y in b] for x in a])
-        some = {i for i, _ in pairs}, {j for _, j in pairs}
-        return [{"left": a[i], "right": b[j]} for i, j in pairs] + [{"left": x, "right": None} for i, x in enumerate(a) if i not in some[0]] + [{"left": None, "right": y} for j, y in enumerate(b) if j not in some[1]]
+    def one(lefts: list[dict], rights: list[dict]) -> list[dict]:
+        (a, over), (b, under) = (([r["record"] for r in x], [int(r["n"]) for r in x]) for x in (sorted(side, key=lambda r: r["record"]) for side in (lefts, rights)))
+        parsed = [_load(x) for x in a], [_load(y) for y in b]
+        pairs = transport(np.array([[len(_record_paths(x, y)) for y in parsed[1]] for x in parsed[0]]), over, under)
+        for i, j, n in pairs:
+            over[i] -= n
+            under[j] -= n
+        out = [{"left": a[i], "right": b[j], "n": n} for i, j, n in pairs]
+        return out + [{"left": x, "right": None, "n": n} for x, n in zip(a, over, strict=True) if n] + [{"left": None, "right": y, "n": n} for y, n in zip(b, under, strict=True) if n]
 
     return pd.Series([one(list(a), list(b)) for a, b in zip(lefts, rights, strict=True)])
 
@@ -134,26 +163,26 @@ def latest_rows(df: DataFrame, keys: list[str], at: str, tie: Column) -> DataFra
     return df.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").drop("_rank")
 
 
-def compare_copies(left: DataFrame, right: DataFrame, keys: list[str], exact_group: int = EXACT_GROUP) -> DataFrame:
+def compare_copies(left: DataFrame, right: DataFrame, keys: list[str], exact_group: int | None = None) -> DataFrame:  # noqa: ARG001
     """Rows of two copies that do not match: keys, status (leftOnly, rightOnly, changed), left_record, right_record.
 
     Both sides have the keys (non-null) and record, a canonical JSON text {"a": attributes, "s": states}.
     Identical rows of a key cancel out by their number on either side. What is left over is paired within
-    the key: one against one directly, more by the assignment with the fewest differing fields. A key with
-    more than exact_group leftovers on a side is cut, by order of text, into blocks of that size on both
-    sides that are paired block by block: every row still comes out once, but a pair across blocks that
-    differs less may be missed. Surplus rows are leftOnly or rightOnly.
-    Identical rows combine before the first shuffle; no group larger than exact_group is collected.
+    the key: one against one directly, more by the assignment with the fewest differing fields, however many
+    there are. Surplus rows are leftOnly or rightOnly. Identical rows combine before the first shuffle and are
+    paired by their number, so a task holds the different leftovers of a key and a cost for each two of them.
+    exact_group is accepted from older callers and has no effect.
     """
     sides = left.select(*keys, "record", F.lit(1).alias("_n")).unionByName(right.select(*keys, "record", F.lit(-1).alias("_n")))
     surplus = sides.groupBy(*keys, "record").agg(F.sum("_n").alias("_n")).filter("_n <> 0")
-    surplus = surplus.select(*keys, "record", (F.col("_n") > 0).alias("_left"), F.explode(F.sequence(F.lit(1), F.abs("_n").cast("int"))).alias("_copy"))
-    rank = F.row_number().over(Window.partitionBy(*keys, "_left").orderBy("record", "_copy"))
-    blocks = surplus.withColumn("_block", F.floor((rank - 1) / exact_group))
-    grouped = blocks.groupBy(*keys, "_block").agg(F.collect_list(F.when(F.col("_left"), F.col("record"))).alias("_l"), F.collect_list(F.when(~F.col("_left"), F.col("record"))).alias("_r"))
-    few = (F.size("_l") <= 1) & (F.size("_r") <= 1)
-    direct = F.array(F.struct(F.try_element_at("_l", F.lit(1)).alias("left"), F.try_element_at("_r", F.lit(1)).alias("right")))
-    pairs = grouped.select(*keys, F.explode(F.when(few, direct).otherwise(_assign(F.when(few, F.array().cast("array<string>")).otherwise(F.col("_l")), F.when(few, F.array().cast("array<string>")).otherwise(F.col("_r"))))).alias("_p"))
+    side = lambda sign: F.collect_list(F.when(sign * F.col("_n") > 0, F.struct("record", F.abs("_n").alias("n"))))
+    grouped = surplus.groupBy(*keys).agg(side(1).alias("_l"), side(-1).alias("_r"))
+    one, other = F.try_element_at("_l", F.lit(1)), F.try_element_at("_r", F.lit(1))
+    few = (F.size("_l") <= 1) & (F.size("_r") <= 1) & (F.coalesce(one["n"], other["n"]) == F.coalesce(other["n"], one["n"]))
+    direct = F.array(F.struct(one["record"].alias("left"), other["record"].alias("right"), F.coalesce(one["n"], other["n"]).alias("n")))
+    many = [F.when(few, F.array().cast("array<struct<record: string, n: bigint>>")).otherwise(F.col(c)) for c in ("_l", "_r")]
+    pairs = grouped.select(*keys, F.explode(F.when(few, direct).otherwise(_assign(*many))).alias("_p"))
+    pairs = pairs.select(*keys, "_p", F.explode(F.sequence(F.lit(1), F.col("_p.n"))).alias("_copy"))
     status = F.when(F.col("_p.right").isNull(), "leftOnly").when(F.col("_p.left").isNull(), "rightOnly").otherwise("changed")
     return pairs.select(*keys, status.alias("status"), F.col("_p.left").alias("left_record"), F.col("_p.right").alias("right_record"))
 

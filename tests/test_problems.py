@@ -122,6 +122,34 @@ def test_reference_states(spark):
     assert [r[0] for r in ids.select(plain_id(F.col("t"))).collect()] == ["20", "20", "20", None, None, None, None, "7"]
 
 
+def test_copies_of_a_hot_key_pair_at_least_cost(spark):
+    import itertools
+    import random
+
+    import numpy as np
+
+    from quernel.operators.compare_copies import compare_copies, explode_paths, transport
+
+    # one row that only the right side has, first in order of text, shifts all others
+    r = lambda i, b: f'{{"a":{{"a":{i + 1000},"b":{b},"c":{i}}},"s":{{}}}}'
+    side = lambda *xs: spark.createDataFrame([("k", x) for x in xs], "k string, record string")
+    left, right = [r(i, 0) for i in range(150) for _ in range(1 + i % 2)], [r(i, 1) for i in range(150) for _ in range(1 + i % 2)]
+    out = explode_paths(compare_copies(side(*left), side(r(-1, 1), *right), ["k"]), ["k"])
+    assert {tuple(x) for x in out.groupBy("status", "diff_path").count().collect()} == {("changed", "b", 225), ("rightOnly", "", 1)}
+    one = compare_copies(side(*[r(1, 0)] * 5), side(*[r(1, 1)] * 3), ["k"]).groupBy("status").count()
+    assert {tuple(x) for x in one.collect()} == {("changed", 3), ("leftOnly", 2)}
+    rnd = random.Random(4)
+    for _ in range(60):
+        supply, demand = ([rnd.randint(1, 2) for _ in range(rnd.randint(1, 3))] for _ in range(2))
+        cost = np.array([[rnd.randint(0, 9) for _ in demand] for _ in supply])
+        a, b = ([i for i, n in enumerate(x) for _ in range(n)] for x in (supply, demand))
+        some, more, flip = (a, b, False) if len(a) <= len(b) else (b, a, True)
+        best = min(sum(cost[(j, i) if flip else (i, j)] for i, j in zip(some, q)) for q in set(itertools.permutations(more, len(some))))
+        got = transport(cost, supply, demand)
+        assert sum(cost[i, j] * n for i, j, n in got) == best and sum(n for *_, n in got) == len(some)
+        assert all(sum(n for i, _, n in got if i == k) <= x for k, x in enumerate(supply)) and all(sum(n for _, j, n in got if j == k) <= x for k, x in enumerate(demand))
+
+
 def test_copies_with_repeated_keys(spark):
     from quernel.operators.compare_copies import compare_copies, difference_paths, explode_paths, least_cost
 
