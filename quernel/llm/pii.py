@@ -196,6 +196,8 @@ def _triggers() -> ahocorasick.Automaton:
 _CLUSTER = re.compile(r"\d(?:[ ().\-/]{0,3}\d){5,}")
 #: Dates, builds and places on the map: no phone number or identity number is written so.
 _COMMON = re.compile(r"20\d\d-[01]\d-[0-3]\d|\d{1,2}\.\d{1,2}\.\d{1,2}\.\d{5}|\d{1,2}\.\d{1,2}(?: / | )\d{1,2}\.\d{1,2}")
+#: What may part two numbers of one cluster: dates, builds and places, and signs with a space on either side.
+_APART = re.compile(rf"(?<!\d)(?:{_COMMON.pattern})(?!\d)| [/\-] ")
 #: Where the number stands beside the word for the way: before it, or behind it.
 _REACH = {"address": lambda a, b: (max(0, a - 40), a), "strasse": lambda a, b: (b, b + 5), "rue": lambda a, b: (max(0, a - 8), a), "calle": lambda a, b: (b, b + 50)}
 _PAIR = re.compile(rf"({_SURNAME})(?:,? [^\W\d_]\.)?,? ({_SURNAME})(?: [^\W\d_]\.)?(?![\w@])")
@@ -217,6 +219,18 @@ def _near(places: list[int], before: int, after: int, size: int) -> list[tuple[i
     return out
 
 
+def _numbers(text: str, low: int, high: int) -> Iterator[re.Match]:
+    """Numbers in a stretch, those that run over a sign with spaces and those on either side of one."""
+    seen = set()
+    cuts = [(m.start(), m.end()) for m in _APART.finditer(text, low, high)]
+    pieces = zip([low, *(b for _, b in cuts)], [*(a for a, _ in cuts), high], strict=True) if cuts else ()
+    for a, b in ((low, high), *pieces):
+        for m in _DIGITS.finditer(text, a, b):
+            if m.span() not in seen:
+                seen.add(m.span())
+                yield m
+
+
 def candidates(text: str, low: str) -> list[tuple[str, int, int, int]]:
     """(kind, start, end, form) of every span that may be personal; they overlap freely. Both texts are folded.
 
@@ -259,9 +273,16 @@ def candidates(text: str, low: str) -> list[tuple[str, int, int, int]]:
     for n, kind in enumerate(streets):
         for a, b in _near(streets[kind], 70, 70, size) if streets[kind] else ():
             found += [("address", m.start(), m.end(), n) for m in _ADDRESSES[n].finditer(low, a, b)]
-    clusters = [p for m in _CLUSTER.finditer(text) if _COMMON.fullmatch(m[0]) is None for p in (m.start(), m.end())]
-    for a, b in _near(clusters, 12, 12, size) if clusters else ():
-        for m in _DIGITS.finditer(text, a, b):
+    # one stretch for each cluster, however long, so that no number is cut
+    clusters: list[tuple[int, int]] = []
+    for m in _CLUSTER.finditer(text):
+        if _COMMON.fullmatch(m[0]) is None:
+            start, end = max(0, m.start() - 12), min(size, m.end() + 12)
+            if clusters and start <= clusters[-1][1]:
+                start = clusters.pop()[0]
+            clusters.append((start, end))
+    for a, b in clusters:
+        for m in _numbers(text, a, b):
             # a bracket around the whole number is no part of it, one around an area code is
             found.append(("phone", m.start() + (m[0][0] == "(" and _AREA.match(m[0]) is None), m.end(), 0))
         for n, shape in enumerate(_ID_SHAPES):

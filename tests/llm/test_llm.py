@@ -21,7 +21,7 @@ from quernel.llm.boosting import BoostedTrees  # noqa: E402
 from quernel.llm.encoding import VOCABULARY, encode_corpus, encoder  # noqa: E402
 from quernel.llm.fusion import choose_sources  # noqa: E402
 from quernel.llm.leakage import alignment, find_leaks, hashes_needed, plain_words  # noqa: E402
-from quernel.llm.pii import find_personal, find_spans, redact, redact_documents  # noqa: E402
+from quernel.llm.pii import candidates, find_personal, find_spans, redact, redact_documents  # noqa: E402
 from quernel.llm.pii_seed import labelled  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
@@ -229,6 +229,18 @@ def test_personal_places_and_placeholders(spark):
     assert [r.text for r in redact_documents(docs(spark, None, "", "call me on 555-0100")).collect()][:2] == [None, ""]
 
 
+def test_numbers_in_a_row_are_found_whole():
+    for text, numbers in {
+        "Telefon 030 23125 123 / 030 23125 456 abends": ["030 23125 123", "030 23125 456"],
+        "call me: 0171 2345678 / 030 23125 123 / 0171 7654321 please": ["0171 2345678", "030 23125 123", "0171 7654321"],
+        "Build 1.15.2.54332 (030) 23125 123 ist meine Nummer": ["(030) 23125 123"],
+        "Telefon 030 / 1234567 abends": ["030 / 1234567"],
+    }.items():
+        assert [(k, text[a:b]) for k, a, b in find_spans([text])[0]] == [("phone", n) for n in numbers]
+    row = "0171 2345678 / 030 1234567 / 040 7654321"
+    assert {"0171 2345678", "030 1234567", "040 7654321"} <= {row[a:b] for k, a, b, _ in candidates(row, row) if k == "phone"}
+
+
 def test_boosting_learns_a_rule():
     import numpy as np
 
