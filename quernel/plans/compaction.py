@@ -10,12 +10,14 @@ from quernel.session import shared_dir, table
 from quernel.sources.raw_documents import raw_documents
 
 
-def compacted(spark: SparkSession, sf: str) -> DataFrame:
+def compacted(spark: SparkSession, sf: str, target_bytes: int = 128 << 20) -> DataFrame:
     files = table(spark, sf, "raw_files")
+    # one row: how many buckets a new store gets
     size = files.agg(F.sum(F.octet_length("file_text"))).first()[0] or 0
-    docs = raw_documents(files, "file_id", "modified_at")
-    records = docs.select("file_id", "kind", "record_id", "body", F.get_json_object("body", "$.fetchedAt").alias("fetched_at"), "modified_at")
-    return compact(VersionedStore(spark, shared_dir(spark, "compacted")), records, size)
+    docs = raw_documents(files, "file_id", "size_bytes", "modified_at")
+    records = docs.select("file_id", F.col("size_bytes").alias("file_bytes"), "kind", "record_id", "body", F.get_json_object("body", "$.fetchedAt").alias("fetched_at"), "modified_at")
+    store = VersionedStore(spark, shared_dir(spark, "compacted"), buckets=max(1, -(-size // target_bytes)))
+    return compact(store, records, target_bytes=target_bytes)
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:

@@ -25,17 +25,24 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a local one where that is unset."""
+    """The folder all executors share: spark.checkpoint.dir; where that is unset a local one, in local mode only."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
+        if not named and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="quernel-checkpoint-"))
     return named or context.getCheckpointDir()
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder name below the shared folder; nothing is created yet."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/quernel/{purpose}-{uuid.uuid4().hex}"
+    """A new folder below the shared folder, removed when the application ends."""
+    name = f"{checkpoint_dir(spark).rstrip('/')}/quernel/{purpose}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return name
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -176,20 +176,97 @@ def test_copies_with_repeated_keys(spark):
     assert difference_paths({"a": {"b": 1}}, {"a": 1}) == ["a"] and difference_paths({"a": {}}, {"a": {"b": 1}}) == ["a.b"]
 
 
+FILES = "file_id long, file_bytes long, kind string, record_id long, body string, fetched_at string, modified_at timestamp_ntz"
+
+
+def landing(spark, ids, mark="b", a_file=None):
+    """One small file for each record, or all in one file."""
+    return spark.createDataFrame([(a_file or i, 10, "object", i, f"{mark}{i}", None, None) for i in ids], FILES)
+
+
 def test_compaction_versions(spark, tmp_path):
     from quernel.operators.compaction import VersionConflict, VersionedStore, compact
 
-    schema = "file_id long, kind string, record_id long, body string, fetched_at string, modified_at timestamp_ntz"
-    first = spark.createDataFrame([(i, "object", i % 7, f"b{i}", f"2024-01-{i:02d}", None) for i in range(1, 30)], schema)
+    first = spark.createDataFrame([(i, 10, "object", i % 7, f"b{i}", f"2024-01-{i:02d}", None) for i in range(1, 30)] + [(99, None, None, 1, "x", None, None), (98, None, "object", None, "x", None, None)], FILES)
     store = VersionedStore(spark, f"file://{tmp_path}/store")
-    whole = compact(store, first, 1000, min_files=2)
+    whole = compact(store, first, min_files=2)
     assert rows(whole, ["record_id", "body"]) == [(k, f"b{max(i for i in range(1, 30) if i % 7 == k)}") for k in range(7)]
     assert store.version() == 1
-    with pytest.raises(VersionConflict):
-        store.publish(1, [("object", 0)])
     # partitions with few files are left alone, and still come out whole
-    assert compact(VersionedStore(spark, f"file://{tmp_path}/other"), first, 1000, min_files=1000).count() == 7
+    other = VersionedStore(spark, f"file://{tmp_path}/other")
+    assert compact(other, first, min_files=1000).count() == 7 and other.version() == 0
     assert store.read(0).count() == 0 and store.read().count() == 7
+    with pytest.raises(VersionConflict):
+        store.publish(0, "nothing", [("object", 0, 1)])
+    assert compact(other, first.limit(0)).collect() == []
+
+
+def test_compaction_merges_with_the_store(spark, tmp_path):
+    """A second compaction keeps the rows of the first one, also when it leaves their partition alone."""
+    from quernel.operators.compaction import VersionedStore, compact
+
+    store = VersionedStore(spark, f"file://{tmp_path}/store", buckets=3)
+    compact(store, landing(spark, range(40)), min_files=4)
+    both = compact(VersionedStore(spark, store.path, buckets=50), landing(spark, range(30, 80), "c"), min_files=4)
+    want = [(i, f"c{i}" if i >= 30 else f"b{i}") for i in range(80)]
+    assert rows(both, ["record_id", "body"]) == sorted(want, key=repr) == rows(store.read(), ["record_id", "body"])
+    # few files: nothing is rewritten, and the result has the store's rows and the new ones
+    few = compact(store, landing(spark, [100]), min_files=4)
+    assert few.count() == 81 and store.version() == 2 and store.read().count() == 80
+    # some partitions crowded, others not
+    some = spark.createDataFrame([(i, 10, "details", 7, "d", None, None) for i in range(9)] + [(500, 10, "object", 500, "e", None, None)], FILES)
+    assert rows(compact(store, some, min_files=4), ["kind", "record_id"]) == sorted([("details", 7), *(("object", i) for i in [*range(80), 500])], key=repr)
+    assert store.version() == 3 and len(store.vacuum()) == 1 and store.read().count() == 81 and store.vacuum() == []
+
+
+def test_compaction_counts_files_and_sizes(spark, tmp_path):
+    from quernel.operators.compaction import VersionedStore, compact
+
+    store = VersionedStore(spark, f"file://{tmp_path}/store")
+    # one file of many records is no crowd, nor are large files
+    assert compact(store, landing(spark, range(40), a_file=1), min_files=4).count() == 40 and store.version() == 0
+    assert compact(store, landing(spark, range(40)).withColumn("file_bytes", F.lit(1 << 30)), min_files=4).count() == 40 and store.version() == 0
+    # a partition larger than the target comes out in several files of about the target
+    compact(store, landing(spark, range(400), "x" * 97), min_files=4, target_bytes=10_000)
+    files = [f for f in Path(tmp_path, "store", "data").rglob("*.parquet")]
+    sizes = [pq.read_metadata(f).num_rows for f in files]
+    assert sum(sizes) == 400 and 4 <= len(files) <= 8 and max(sizes) <= 101
+
+
+def test_two_writers_from_one_version(spark, tmp_path, monkeypatch):
+    from quernel.operators.compaction import VersionConflict, VersionedStore, compact
+
+    a, b = (VersionedStore(spark, f"file://{tmp_path}/store") for _ in range(2))
+    started = b.version()
+    compact(a, landing(spark, range(5)), min_files=1)
+    monkeypatch.setattr(b, "version", lambda: started)
+    with pytest.raises(VersionConflict):
+        compact(b, landing(spark, range(100, 103)), min_files=1)
+    # what the first writer published stays, and nothing of the second one is left behind
+    assert rows(a.read(), ["record_id"]) == [(i,) for i in range(5)]
+    assert len(list(Path(tmp_path, "store", "data").iterdir())) == 1
+    # a writer of other partitions goes on under the next version
+    other = spark.createDataFrame([(i, 10, "details", 7 + i, "d", None, None) for i in range(5)], FILES)
+    compact(b, other, min_files=1)
+    assert a.version() == 2 and a.read().count() == 10
+
+
+def test_a_crash_before_publication_leaves_no_version(spark, tmp_path, monkeypatch):
+    from quernel.operators import compaction
+    from quernel.operators.compaction import VersionedStore, compact
+
+    store = VersionedStore(spark, f"file://{tmp_path}/store")
+    compact(store, landing(spark, range(5)), min_files=1)
+
+    def crash(*_):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(compaction.os, "link", crash)
+    with pytest.raises(KeyboardInterrupt):
+        compact(store, landing(spark, range(50, 60)), min_files=1)
+    monkeypatch.undo()
+    assert store.version() == 1 and store.read().count() == 5
+    assert compact(store, landing(spark, range(50, 60)), min_files=1).count() == 15 and store.version() == 2
 
 
 def test_snapshot_intervals(spark):
