@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Attributes that hold ids of quests: a number or a list of numbers.
@@ -10,8 +10,8 @@ QUEST_ID_FIELDS = ("nextQuestInChain", "parentQuest", "startQuest", "preQuestSin
 #: Attributes that hold a list of {type, id}.
 TYPED_ID_FIELDS = ("startedBy",)
 
-_NUMBER = r"-?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?"
 _TARGET = "struct<target_type: string, target_id: string>"
+_OLDEST = "0001-01-01"
 
 
 def plain_id(text: Column) -> Column:
@@ -22,13 +22,21 @@ def plain_id(text: Column) -> Column:
     return F.coalesce(digits, whole)
 
 
+def _elements(text: Column) -> Column:
+    """The elements of a JSON list as texts (strings without quotes), or the one value of anything else; null where broken."""
+    return F.from_json(F.when(text.rlike(r"^\s*\["), text).otherwise(F.concat(F.lit("["), text, F.lit("]"))), "array<string>")
+
+
 def attribute_targets(attributes: Column) -> Column:
-    """Distinct targets named by the id fields of a map<string, JSON text>; empty for null maps and unreadable values."""
-    one = lambda kind, i: F.struct(kind.alias("target_type"), plain_id(i).alias("target_id"))
-    # strings inside the value are no ids: whole values that hold a quote are passed over
-    quests = F.flatten(F.array(*[F.coalesce(F.when(~attributes[f].contains('"'), F.regexp_extract_all(attributes[f], F.lit(_NUMBER), F.lit(0))), F.array().cast("array<string>")) for f in QUEST_ID_FIELDS]))
-    typed = F.flatten(F.array(*[F.coalesce(F.from_json(attributes[f], "array<struct<type: string, id: string>>"), F.array().cast("array<struct<type:string,id:string>>")) for f in TYPED_ID_FIELDS]))
-    both = F.concat(F.transform(quests, lambda i: one(F.lit("quest"), i)), F.transform(typed, lambda t: one(t["type"], t["id"])))
+    """Distinct targets named by the id fields of a map<string, JSON text>; empty for null maps and unreadable values.
+
+    Ids are numbers or strings of digits; an element that is no id does not spoil the others of its list.
+    """
+    one = lambda kind, i: F.struct(kind.alias("target_type"), plain_id(F.trim(i)).alias("target_id"))
+    none = F.array().cast("array<string>")
+    held = lambda names: F.flatten(F.array(*[F.coalesce(_elements(attributes[f]), none) for f in names]))
+    typed = F.transform(held(TYPED_ID_FIELDS), lambda t: F.from_json(t, "struct<type: string, id: string>"))
+    both = F.concat(F.transform(held(QUEST_ID_FIELDS), lambda i: one(F.lit("quest"), i)), F.transform(typed, lambda t: one(t["type"], t["id"])))
     return F.array_distinct(both.cast(f"array<{_TARGET}>"))
 
 
@@ -42,35 +50,55 @@ def references(rows: DataFrame, name: str, key: str, at: str, targets: Column) -
     return exploded.select("ref_table", "ref_id", "referred_at", "_t.target_type", "_t.target_id")
 
 
-def parent_intervals(records: DataFrame) -> DataFrame:
-    """One row per entity that was ever delivered: parent_type, parent_id, valid_from (first delivery as
-    present), valid_to (null while live, else the last notice of removal), live.
+def parent_spans(records: DataFrame) -> DataFrame:
+    """parent_type, parent_id, span_from, span_to, present, first_delivered, live: the whole timeline of every entity ever delivered.
 
-    records: entity_type, entity_id, source, generated_at, delivered_at, record_status. An entity is
-    live if the latest record (by generated_at, then delivered_at; null times are oldest) of at least
-    one source is present. Both steps aggregate before they shuffle.
+    records: entity_type, entity_id, source, generated_at, delivered_at, record_status. A source has the
+    entity from the time (generated_at) of a present record until that of a removal; of records of one
+    time the one delivered last counts, and of those a removal. The entity is present while at least one
+    source has it. Spans of one entity follow each other without gaps: the first has no span_from, the last
+    no span_to (null times are the oldest), and live says whether the entity is present in the last one.
+    first_delivered is the first delivery as present. Rows without type or id are left out. Records combine
+    to one per source and time before they are brought together, so a key is bounded by its revisions.
     """
-    moment = F.struct(F.coalesce("generated_at", F.lit("0001-01-01").cast("timestamp_ntz")), F.coalesce("delivered_at", F.lit("0001-01-01").cast("timestamp_ntz")))
-    present = F.col("record_status") == "present"
-    by_source = records.filter("entity_type IS NOT NULL AND entity_id IS NOT NULL").groupBy("entity_type", "entity_id", "source").agg(
-        F.max(F.when(F.coalesce(present, F.lit(False)), moment)).alias("last_present"),
-        F.max(F.when(~F.coalesce(present, F.lit(False)), moment)).alias("last_removed"),
-        F.min(F.when(present, F.col("delivered_at"))).alias("first_delivered"),
+    oldest = F.lit(_OLDEST).cast("timestamp_ntz")
+    present = F.coalesce(F.col("record_status") == "present", F.lit(False))
+    named = records.filter("entity_type IS NOT NULL AND entity_id IS NOT NULL").select(
+        F.col("entity_type").alias("parent_type"), F.col("entity_id").alias("parent_id"), "source", F.coalesce("generated_at", oldest).alias("at"), F.coalesce("delivered_at", oldest).alias("_d"), present.alias("_p"), "delivered_at"
     )
-    live = F.coalesce(F.col("last_present") > F.col("last_removed"), F.col("last_present").isNotNull())
-    entity = by_source.groupBy("entity_type", "entity_id").agg(F.max(live).alias("live"), F.min("first_delivered").alias("valid_from"), F.max("last_removed.col1").alias("removed_at"))
-    return entity.select(F.col("entity_type").alias("parent_type"), F.col("entity_id").alias("parent_id"), "valid_from", F.when(~F.col("live"), F.col("removed_at")).alias("valid_to"), "live")
-
-
-def classify_references(refs: DataFrame, parents: DataFrame) -> DataFrame:
-    """refs with ref_state: live, late, deleted or missing.
-
-    missing: no source ever had the entity; deleted: every source dropped it; late: live, but first
-    delivered after the reference was made; live: the rest, also where either time is null. References
-    and parents are co-partitioned and sorted by target and merged in one linear pass (a sort-merge
-    join); parents are unique, so that a hot target only makes its reference side large, which adaptive
-    execution splits by blocks. Neither side is broadcast, collected or grouped in memory.
+    key = ["parent_type", "parent_id"]
+    # not present sorts last of equal deliveries
+    told = named.groupBy(*key, "source", "at").agg(F.max(F.struct("_d", (~F.col("_p")).alias("gone"))).alias("_m"), F.min(F.when(F.col("_p"), F.col("delivered_at"))).alias("_f"))
+    told = told.select(*key, "source", "at", F.when(F.col("_m.gone"), 0).otherwise(1).alias("has"), "_f").repartition(*key)
+    # one partitioning serves all that follows
+    by_source = Window.partitionBy(*key, "source").orderBy("at")
+    steps = told.withColumn("step", F.col("has") - F.coalesce(F.lag("has").over(by_source), F.lit(0)))
+    moments = steps.groupBy(*key, "at").agg(F.sum("step").alias("step"), F.min("_f").alias("_f"))
+    timeline, whole = Window.partitionBy(*key).orderBy("at"), Window.partitionBy(*key)
+    running = moments.withColumn("present", F.sum("step").over(timeline.rowsBetween(Window.unboundedPreceding, 0)) > 0).withColumn("first_delivered", F.min("_f").over(whole))
+    changes = running.withColumn("_same", F.coalesce(F.lag("present").over(timeline) == F.col("present"), F.lit(False))).filter("NOT _same")
+    spans = changes.withColumn("span_to", F.lead("at").over(timeline)).withColumn("_last", F.row_number().over(whole.orderBy(F.col("at").desc())))
+    spans = spans.withColumn("live", F.max(F.when(F.col("_last") == 1, F.col("present"))).over(whole)).withColumn("_first", F.lag("at").over(timeline).isNull())
+    here = F.struct(F.col("at").alias("span_from"), "span_to", "present")
+    before = F.struct(F.lit(None).cast("timestamp_ntz").alias("span_from"), F.col("at").alias("span_to"), F.lit(False).alias("present"))
+    return spans.select(*key, F.explode(F.when(F.col("_first"), F.array(before, here)).otherwise(F.array(here))).alias("_s"), "first_delivered", "live").select(*key, "_s.*", "first_delivered", "live")
+
+
+def classify_references(refs: DataFrame, spans: DataFrame) -> DataFrame:
+    """refs with valid_from and valid_to (the span of the parent's timeline the reference falls into), live and ref_state.
+
+    missing: no source ever had the entity; live: it is there and was when the reference was made; late: it is
+    there, but was not yet delivered then, or was between removal and return; deleted: it is gone, and was
+    not yet when the reference was made; stale: it was removed already when the reference was made, and is
+    still gone. References without a time count as made at the end. References and spans are co-partitioned and
+    sorted by target and merged in one linear pass (a sort-merge join); a reference falls into exactly one span
+    of its target, so a hot target only makes its reference side large, which adaptive execution splits. Neither
+    side is broadcast, collected or grouped in memory.
     """
-    joined = refs.hint("merge").join(parents.hint("merge"), (refs.target_type == parents.parent_type) & (refs.target_id == parents.parent_id), "left")
-    state = F.when(F.col("live").isNull(), "missing").when(~F.col("live"), "deleted").when(F.col("valid_from") > F.col("referred_at"), "late").otherwise("live")
-    return joined.select(*[refs[c] for c in refs.columns], "valid_from", "valid_to", state.alias("ref_state"))
+    at = F.col("referred_at")
+    within = (F.col("span_from").isNull() | F.coalesce(at >= F.col("span_from"), F.lit(True))) & (F.col("span_to").isNull() | F.coalesce(at < F.col("span_to"), F.lit(False)))
+    joined = refs.hint("merge").join(spans.hint("merge"), (refs.target_type == spans.parent_type) & (refs.target_id == spans.parent_id) & within, "left")
+    late = ~F.col("present") | F.coalesce(F.col("first_delivered") > at, F.lit(False))
+    gone = F.when(F.col("present") | F.col("span_from").isNull(), "deleted").otherwise("stale")
+    state = F.when(F.col("live").isNull(), "missing").when(~F.col("live"), gone).when(late, "late").otherwise("live")
+    return joined.select(*[refs[c] for c in refs.columns], F.col("span_from").alias("valid_from"), F.col("span_to").alias("valid_to"), "live", state.alias("ref_state"))

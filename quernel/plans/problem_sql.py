@@ -6,18 +6,38 @@ _IDS = "'nextQuestInChain', 'parentQuest', 'startQuest', 'preQuestSingle', 'ques
 #: The kind of a member of a JSON value: one for numbers, however stored.
 _KIND = "replace(replace(replace(j.type, 'UBIGINT', 'NUMBER'), 'BIGINT', 'NUMBER'), 'DOUBLE', 'NUMBER')"
 
-SQL = {
-    "p3_found": f"""
-WITH latest AS (SELECT entity_type, entity_id, source, arg_max(record_status, generated_at) AS status FROM source_records GROUP BY ALL),
+_REFS = f"""latest AS (SELECT entity_type, entity_id, source, arg_max(record_status, (generated_at, delivered_at)) AS status FROM source_records GROUP BY ALL),
 live AS (SELECT DISTINCT entity_type AS t, entity_id AS i FROM latest WHERE status = 'present' AND entity_type <> 'zone' UNION SELECT 'zone', CAST(area_id AS VARCHAR) FROM zones),
-fields AS (SELECT row_id, unnest(map_entries(attributes)) AS e FROM source_records WHERE record_status = 'present'),
-refs AS (
-  SELECT 'relationships' AS ref_table, edge_id AS ref_id, from_type AS target_type, from_id AS target_id FROM relationships
-  UNION SELECT 'relationships', edge_id, to_type, to_id FROM relationships
-  UNION SELECT 'containments', containment_id, child_type, CAST(child_id AS VARCHAR) FROM containments
-  UNION SELECT 'source_records', row_id, 'quest', CAST(CAST(CAST(unnest(CASE WHEN e.value LIKE '[%' THEN CAST(CAST(e.value AS JSON) AS JSON[]) ELSE [CAST(e.value AS JSON)] END) AS DOUBLE) AS BIGINT) AS VARCHAR) FROM fields WHERE e.key IN ({_IDS}) AND e.value <> 'null'
-  UNION SELECT 'source_records', row_id, x ->> '$.type', CAST(CAST(CAST(x ->> '$.id' AS DOUBLE) AS BIGINT) AS VARCHAR) FROM (SELECT row_id, unnest(CAST(CAST(e.value AS JSON) AS JSON[])) AS x FROM fields WHERE e.key = 'startedBy' AND e.value LIKE '[%'))
-SELECT ref_table, ref_id, target_type, target_id FROM refs WHERE target_id IS NOT NULL AND target_id NOT IN ('', '0') AND (target_type, target_id) NOT IN (SELECT (t, i) FROM live)""",
+fields AS (SELECT row_id, delivered_at, unnest(map_entries(attributes)) AS e FROM source_records WHERE record_status = 'present'),
+named AS (
+  SELECT 'relationships' AS ref_table, edge_id AS ref_id, observed_at AS made, from_type AS target_type, from_id AS target_id FROM relationships
+  UNION SELECT 'relationships', edge_id, observed_at, to_type, to_id FROM relationships
+  UNION SELECT 'containments', containment_id, observed_at, child_type, CAST(child_id AS VARCHAR) FROM containments
+  UNION SELECT 'source_records', row_id, delivered_at, 'quest', CAST(CAST(CAST(unnest(CASE WHEN e.value LIKE '[%' THEN CAST(CAST(e.value AS JSON) AS JSON[]) ELSE [CAST(e.value AS JSON)] END) AS DOUBLE) AS BIGINT) AS VARCHAR) FROM fields WHERE e.key IN ({_IDS}) AND e.value <> 'null'
+  UNION SELECT 'source_records', row_id, delivered_at, x ->> '$.type', CAST(CAST(CAST(x ->> '$.id' AS DOUBLE) AS BIGINT) AS VARCHAR) FROM (SELECT row_id, delivered_at, unnest(CAST(CAST(e.value AS JSON) AS JSON[])) AS x FROM fields WHERE e.key = 'startedBy' AND e.value LIKE '[%')),
+refs AS (SELECT * FROM named WHERE target_type IS NOT NULL AND target_id IS NOT NULL AND target_id NOT IN ('', '0'))"""
+#: Changes of who has an entity: at each time of a source, whether it has it, and whether it had before.
+_STEPS = """told AS (SELECT entity_type AS t, entity_id AS i, source, coalesce(generated_at, TIMESTAMP '0001-01-01') AS made, arg_max(record_status = 'present', (coalesce(delivered_at, TIMESTAMP '0001-01-01'), record_status <> 'present')) AS has FROM source_records WHERE entity_type IS NOT NULL AND entity_id IS NOT NULL GROUP BY ALL),
+moments AS (SELECT DISTINCT t, i, made FROM told),
+known AS (SELECT m.t, m.i, m.made, s.source, arg_max(s.has, s.made) AS has FROM moments m JOIN told s ON s.t = m.t AND s.i = m.i AND s.made <= m.made GROUP BY ALL),
+timeline AS (SELECT t, i, made, bool_or(has) AS present FROM known GROUP BY ALL)"""
+
+SQL = {
+    "p3_found": f"WITH {_REFS} SELECT ref_table, ref_id, target_type, target_id FROM refs WHERE (target_type, target_id) NOT IN (SELECT (t, i) FROM live)",
+    "p3_intervals": f"""WITH {_STEPS},
+marks AS (SELECT *, coalesce(present <> lag(present) OVER w, TRUE) AS starts FROM timeline WINDOW w AS (PARTITION BY t, i ORDER BY made)),
+spans AS (SELECT *, lead(made) OVER (PARTITION BY t, i ORDER BY made) AS until FROM marks WHERE starts)
+SELECT t AS entity_type, i AS entity_id, made AS valid_from, until AS valid_to FROM spans WHERE present""",
+    "p3_report": f"""WITH {_REFS}, {_STEPS},
+arrived AS (SELECT entity_type AS t, entity_id AS i, min(delivered_at) FILTER (record_status = 'present') AS first_delivered FROM source_records GROUP BY ALL),
+then_ AS (SELECT r.ref_table, r.ref_id, r.target_type, r.target_id, count(m.made) AS n, arg_max(m.present, m.made) AS present FROM refs r LEFT JOIN timeline m ON m.t = r.target_type AND m.i = r.target_id AND (r.made IS NULL OR m.made <= r.made) GROUP BY ALL),
+states AS (SELECT r.*, CASE
+  WHEN r.target_type = 'zone' THEN CASE WHEN l.i IS NULL THEN 'missing' ELSE 'live' END
+  WHEN a.i IS NULL THEN 'missing'
+  WHEN l.i IS NULL THEN CASE WHEN h.n = 0 OR h.present THEN 'deleted' ELSE 'stale' END
+  WHEN h.n = 0 OR NOT h.present OR coalesce(a.first_delivered > r.made, FALSE) THEN 'late' ELSE 'live' END AS ref_state
+  FROM refs r JOIN then_ h USING (ref_table, ref_id, target_type, target_id) LEFT JOIN live l ON l.t = r.target_type AND l.i = r.target_id LEFT JOIN arrived a ON a.t = r.target_type AND a.i = r.target_id)
+SELECT ref_table, strftime(made, '%Y-%m') AS period, ref_state, count(*) AS n_references, count(DISTINCT (target_type, target_id)) AS n_targets FROM states GROUP BY ALL""",
     "p6_found": f"""
 WITH whole AS (SELECT source, source_revision, min(generated_at) AS made_at FROM manifests GROUP BY ALL HAVING bool_and(status = 'complete')),
 revs AS (SELECT source, source_revision, row_number() OVER (PARTITION BY source ORDER BY made_at) AS n FROM whole),

@@ -19,6 +19,7 @@ def queries() -> dict[str, Query]:
         nested.p1_found,
         references.p3_found,
         references.p3_report,
+        references.p3_intervals,
         compare_copies.p4_found,
         compare_copies.p4_all_rows,
         compaction.p5_found,

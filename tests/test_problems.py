@@ -108,20 +108,42 @@ def test_inlining_plan(spark):
 
 
 def test_reference_states(spark):
-    from quernel.operators.references import classify_references, parent_intervals, plain_id
+    from quernel.operators.references import classify_references, parent_spans, plain_id
 
     day = lambda n: datetime(2024, 1, n)
-    records = spark.createDataFrame(
-        [("npc", "1", "a", day(1), day(2), "present"), ("npc", "1", "a", day(3), day(4), "removed"), ("npc", "2", "a", day(1), day(9), "present"), ("npc", "3", "a", day(1), day(2), "removed"), ("npc", "3", "b", day(1), day(2), "present"), (None, "9", "a", day(1), day(1), "present"), ("npc", "4", None, None, None, None)],
-        "entity_type string, entity_id string, source string, generated_at timestamp_ntz, delivered_at timestamp_ntz, record_status string",
-    )
-    refs = spark.createDataFrame([("t", n, day(5), "npc", str(n)) for n in range(1, 6)] + [("t", 6, None, "npc", "2")], "ref_table string, ref_id long, referred_at timestamp_ntz, target_type string, target_id string")
-    states = {r.ref_id: r.ref_state for r in classify_references(refs, parent_intervals(records)).collect()}
-    assert states == {1: "deleted", 2: "late", 3: "live", 4: "deleted", 5: "missing", 6: "live"}
+    told = [
+        ("npc", "1", "a", day(1), day(2), "present"), ("npc", "1", "a", day(8), day(9), "removed"),  # gone on day 8
+        ("npc", "2", "a", day(1), day(9), "present"),  # delivered late
+        ("npc", "3", "a", day(1), day(2), "removed"), ("npc", "3", "b", day(1), day(2), "present"),  # one source still has it
+        (None, "9", "a", day(1), day(1), "present"), ("npc", "4", None, None, None, None),
+        ("npc", "6", "a", day(1), day(1), "present"), ("npc", "6", "a", day(3), day(3), "removed"), ("npc", "6", "a", day(6), day(6), "present"),  # came back
+        ("npc", "6", "a", day(2), day(9), "present"),  # an older record delivered last changes nothing
+        ("npc", "7", "a", day(1), day(1), "present"), ("npc", "7", "b", day(2), day(2), "present"), ("npc", "7", "a", day(4), day(4), "removed"), ("npc", "7", "b", day(7), day(7), "removed"),
+    ]
+    records = spark.createDataFrame(told * 2, "entity_type string, entity_id string, source string, generated_at timestamp_ntz, delivered_at timestamp_ntz, record_status string")
+    spans = parent_spans(records)
+    held = rows(spans.filter("present"), ["parent_id", "span_from", "span_to"])
+    assert held == [("1", day(1), day(8)), ("2", day(1), None), ("3", day(1), None), ("6", day(1), day(3)), ("6", day(6), None), ("7", day(1), day(7))]
+    made = [("1", 5, "deleted"), ("1", 9, "stale"), ("2", 5, "late"), ("2", 9, "live"), ("3", 5, "live"), ("4", 5, "stale"), ("5", 5, "missing"), ("2", None, "live"), ("6", 2, "live"), ("6", 4, "late"), ("6", 7, "live"), ("7", 5, "deleted"), ("7", 8, "stale"), ("7", None, "stale")]
+    made.append(("1", None, "stale"))
+    refs = spark.createDataFrame([("t", n, day(d) if d else None, "npc", i) for n, (i, d, _) in enumerate(made)], "ref_table string, ref_id long, referred_at timestamp_ntz, target_type string, target_id string")
+    got = classify_references(refs, spans).collect()
+    assert [(made[r.ref_id][:2], r.ref_state) for r in sorted(got, key=lambda r: r.ref_id)] == [(m[:2], m[2]) for m in made]
     ids = spark.createDataFrame([("20",), ("20.0",), ("2e1",), ("0",), ("1.5",), ("x",), (None,), ("007",)], "t string")
     assert [r[0] for r in ids.select(plain_id(F.col("t"))).collect()] == ["20", "20", "20", None, None, None, None, "7"]
 
 
+def test_targets_of_attributes(spark):
+    """Numbers and strings of digits are ids; one bad element leaves the others."""
+    from quernel.operators.references import attribute_targets
+
+    cases = {'[12,"13"]': ["12", "13"], '["12", 13]': ["12", "13"], '"7"': ["7"], "7.0": ["7"], '[1,"x",{"a":2},null,[3],4]': ["1", "4"], "0": [], "[]": [], "null": [], "[5,": [], "": [], " [8]": ["8"]}
+    df = spark.createDataFrame([(n, {"parentQuest": text}) for n, text in enumerate(cases)] + [(99, {"startedBy": '[{"type":"npc","id":"5"},7,{"type":"object","id":6.0},{"id":3}]'}), (100, None), (101, {"parentQuest": None})], "n int, a map<string,string>")
+    got = {r.n: [(t.target_type, t.target_id) for t in r.t or [] if t.target_type and t.target_id] for r in df.select("n", attribute_targets(F.col("a")).alias("t")).collect()}
+    assert [[i for _, i in got[n]] for n in range(len(cases))] == list(cases.values())
+    assert got[99] == [("npc", "5"), ("object", "6")] and got[100] == got[101] == []
+
+
 def test_copies_of_a_hot_key_pair_at_least_cost(spark):
     import itertools
     import random
