@@ -63,18 +63,27 @@ def difference_paths(left: object, right: object, equal: Callable = _same) -> li
     return found
 
 
-def record_differences(left: str, right: str) -> list[str]:
+def record_differences(left: str, right: str, equal: Callable = _same) -> list[str]:
     """Paths of two records {"a": attributes, "s": states}: plain for attributes, $fieldStates.<field> for states."""
-    return _record_paths(_load(left), _load(right))
+    return _record_paths(_load(left), _load(right), equal)
 
 
-def _record_paths(a: dict, b: dict) -> list[str]:
-    return difference_paths(a["a"], b["a"]) + [f"$fieldStates.{p}" for p in difference_paths(a["s"], b["s"])]
+def _record_paths(a: dict, b: dict, equal: Callable = _same) -> list[str]:
+    return difference_paths(a["a"], b["a"], equal) + [f"$fieldStates.{p}" for p in difference_paths(a["s"], b["s"])]
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _record_differences(left: pd.Series, right: pd.Series) -> pd.Series:
-    return pd.Series([record_differences(a, b) for a, b in zip(left, right, strict=True)])
+def _equal(tolerance: float | None) -> Callable:
+    return _same if tolerance is None else near_points(tolerance)
+
+
+def _record_differences(left: Column, right: Column, tolerance: float | None) -> Column:
+    equal = _equal(tolerance)
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def paths(left: pd.Series, right: pd.Series) -> pd.Series:
+        return pd.Series([record_differences(a, b, equal) for a, b in zip(left, right, strict=True)])
+
+    return paths(left, right)
 
 
 def transport(cost: np.ndarray, supply: list[int], demand: list[int]) -> list[tuple[int, int, int]]:
@@ -139,19 +148,24 @@ def least_cost(cost: list[list[int]]) -> list[tuple[int, int]]:
 _PAIRS = T.ArrayType(T.StructType([T.StructField("left", T.StringType()), T.StructField("right", T.StringType()), T.StructField("n", T.LongType())]))
 
 
-@F.pandas_udf(_PAIRS)
-def _assign(lefts: pd.Series, rights: pd.Series) -> pd.Series:
+def _assign(lefts: Column, rights: Column, tolerance: float | None) -> Column:
+    equal = _equal(tolerance)
+
     def one(lefts: list[dict], rights: list[dict]) -> list[dict]:
         (a, over), (b, under) = (([r["record"] for r in x], [int(r["n"]) for r in x]) for x in (sorted(side, key=lambda r: r["record"]) for side in (lefts, rights)))
         parsed = [_load(x) for x in a], [_load(y) for y in b]
-        pairs = transport(np.array([[len(_record_paths(x, y)) for y in parsed[1]] for x in parsed[0]]), over, under)
+        pairs = transport(np.array([[len(_record_paths(x, y, equal)) for y in parsed[1]] for x in parsed[0]]), over, under)
         for i, j, n in pairs:
             over[i] -= n
             under[j] -= n
         out = [{"left": a[i], "right": b[j], "n": n} for i, j, n in pairs]
         return out + [{"left": x, "right": None, "n": n} for x, n in zip(a, over, strict=True) if n] + [{"left": None, "right": y, "n": n} for y, n in zip(b, under, strict=True) if n]
 
-    return pd.Series([one(list(a), list(b)) for a, b in zip(lefts, rights, strict=True)])
+    @F.pandas_udf(_PAIRS)
+    def pairs_of(lefts: pd.Series, rights: pd.Series) -> pd.Series:
+        return pd.Series([one(list(a), list(b)) for a, b in zip(lefts, rights, strict=True)])
+
+    return pairs_of(lefts, rights)
 
 
 def latest_rows(df: DataFrame, keys: list[str], at: str, tie: Column) -> DataFrame:
@@ -163,7 +177,7 @@ def latest_rows(df: DataFrame, keys: list[str], at: str, tie: Column) -> DataFra
     return df.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").drop("_rank")
 
 
-def compare_copies(left: DataFrame, right: DataFrame, keys: list[str], exact_group: int | None = None) -> DataFrame:  # noqa: ARG001
+def compare_copies(left: DataFrame, right: DataFrame, keys: list[str], tolerance: float | None = None) -> DataFrame:
     """Rows of two copies that do not match: keys, status (leftOnly, rightOnly, changed), left_record, right_record.
 
     Both sides have the keys (non-null) and record, a canonical JSON text {"a": attributes, "s": states}.
@@ -171,7 +185,7 @@ def compare_copies(left: DataFrame, right: DataFrame, keys: list[str], exact_gro
     the key: one against one directly, more by the assignment with the fewest differing fields, however many
     there are. Surplus rows are leftOnly or rightOnly. Identical rows combine before the first shuffle and are
     paired by their number, so a task holds the different leftovers of a key and a cost for each two of them.
-    exact_group is accepted from older callers and has no effect.
+    With a tolerance, points on the same map that lie within it on either axis do not differ (see near_points).
     """
     sides = left.select(*keys, "record", F.lit(1).alias("_n")).unionByName(right.select(*keys, "record", F.lit(-1).alias("_n")))
     surplus = sides.groupBy(*keys, "record").agg(F.sum("_n").alias("_n")).filter("_n <> 0")
@@ -181,14 +195,17 @@ def compare_copies(left: DataFrame, right: DataFrame, keys: list[str], exact_gro
     few = (F.size("_l") <= 1) & (F.size("_r") <= 1) & (F.coalesce(one["n"], other["n"]) == F.coalesce(other["n"], one["n"]))
     direct = F.array(F.struct(one["record"].alias("left"), other["record"].alias("right"), F.coalesce(one["n"], other["n"]).alias("n")))
     many = [F.when(few, F.array().cast("array<struct<record: string, n: bigint>>")).otherwise(F.col(c)) for c in ("_l", "_r")]
-    pairs = grouped.select(*keys, F.explode(F.when(few, direct).otherwise(_assign(*many))).alias("_p"))
+    pairs = grouped.select(*keys, F.explode(F.when(few, direct).otherwise(_assign(*many, tolerance))).alias("_p"))
     pairs = pairs.select(*keys, "_p", F.explode(F.sequence(F.lit(1), F.col("_p.n"))).alias("_copy"))
     status = F.when(F.col("_p.right").isNull(), "leftOnly").when(F.col("_p.left").isNull(), "rightOnly").otherwise("changed")
     return pairs.select(*keys, status.alias("status"), F.col("_p.left").alias("left_record"), F.col("_p.right").alias("right_record"))
 
 
-def explode_paths(changes: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, status, diff_path: one row per differing path; '' for rows on one side only."""
+def explode_paths(changes: DataFrame, keys: list[str], tolerance: float | None = None) -> DataFrame:
+    """keys, status, diff_path: one row per differing path; '' for rows on one side only.
+
+    A pair whose points all lie within the tolerance and that differs in nothing else has no row.
+    """
     both = F.col("status") == "changed"
-    paths = F.when(both, _record_differences(F.when(both, F.col("left_record")).otherwise(F.lit('{"a":null,"s":{}}')), F.when(both, F.col("right_record")).otherwise(F.lit('{"a":null,"s":{}}')))).otherwise(F.array(F.lit("")))
+    paths = F.when(both, _record_differences(F.when(both, F.col("left_record")).otherwise(F.lit('{"a":null,"s":{}}')), F.when(both, F.col("right_record")).otherwise(F.lit('{"a":null,"s":{}}')), tolerance)).otherwise(F.array(F.lit("")))
     return changes.select(*keys, "status", F.explode(paths).alias("diff_path"))

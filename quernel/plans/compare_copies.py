@@ -24,9 +24,9 @@ def copy_records(df: DataFrame, latest_only: bool) -> DataFrame:
     return df.select(*keys, F.concat(F.lit('{"a":'), attributes, F.lit(',"s":'), F.coalesce(states, F.lit("{}")), F.lit("}")).alias("record"))
 
 
-def _compare(spark: SparkSession, sf: str, latest_only: bool) -> DataFrame:
+def _compare(spark: SparkSession, sf: str, latest_only: bool, tolerance: float | None = None) -> DataFrame:
     left, right = (copy_records(table(spark, sf, f"dataset_{side}"), latest_only) for side in ("left", "right"))
-    return explode_paths(compare_copies(left, right, _KEYS), _KEYS)
+    return explode_paths(compare_copies(left, right, _KEYS, tolerance), _KEYS, tolerance)
 
 
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -36,3 +36,8 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
 def p4_all_rows(spark: SparkSession, sf: str) -> DataFrame:
     """The same over all rows of either copy, outdated and repeated ones too: leftovers pair at least cost."""
     return _compare(spark, sf, latest_only=False).groupBy(*_KEYS, "status", "diff_path").agg(F.count("*").alias("n_rows"))
+
+
+def p4_near(spark: SparkSession, sf: str) -> DataFrame:
+    """p4_found with points that may lie apart by 0.5 on either axis of the same map; per path, how many entities differ."""
+    return _compare(spark, sf, latest_only=True, tolerance=0.5).groupBy("entity_type", "status", "diff_path").agg(F.count("*").alias("n_entities"))

@@ -22,7 +22,31 @@ moments AS (SELECT DISTINCT t, i, made FROM told),
 known AS (SELECT m.t, m.i, m.made, s.source, arg_max(s.has, s.made) AS has FROM moments m JOIN told s ON s.t = m.t AND s.i = m.i AND s.made <= m.made GROUP BY ALL),
 timeline AS (SELECT t, i, made, bool_or(has) AS present FROM known GROUP BY ALL)"""
 
+
+def _latest(side: str) -> str:
+    return f"{side}_side AS (SELECT coalesce(flavor, '') AS f, coalesce(entity_type, '') AS t, coalesce(entity_id, '') AS i, arg_max(attributes, (loaded_at, md5(attributes))) AS a, arg_max(field_states, (loaded_at, md5(attributes))) AS s FROM dataset_{side} GROUP BY ALL)"
+
+
+def _copies(near: str = "FALSE") -> str:
+    """entity_type, entity_id, status, diff_path; near says when two numbers x and y under m are equal all the same."""
+    return f"""WITH RECURSIVE {_latest("left")}, {_latest("right")},
+both_ AS (SELECT coalesce(l.f, r.f) AS f, coalesce(l.t, r.t) AS t, coalesce(l.i, r.i) AS i, l.f IS NOT NULL AS in_left, r.f IS NOT NULL AS in_right, l.a AS la, r.a AS ra, l.s AS ls, r.s AS rs FROM left_side l FULL JOIN right_side r ON l.f = r.f AND l.t = r.t AND l.i = r.i),
+walk AS (SELECT f, t, i, '' AS path, '' AS m, CAST(la AS JSON) AS x, CAST(ra AS JSON) AS y, NULL::JSON AS above, NULL::JSON AS beside FROM both_ WHERE in_left AND in_right
+  UNION ALL SELECT f, t, i, CASE WHEN path = '' THEN m ELSE path || '.' || m END, m, json_extract(x, '$."' || m || '"'), json_extract(y, '$."' || m || '"'), x, y FROM (SELECT f, t, i, path, x, y, unnest(list_distinct(list_concat(json_keys(x), json_keys(y)))) AS m FROM walk WHERE json_type(x) = 'OBJECT' AND json_type(y) = 'OBJECT') AS members),
+leaves AS (SELECT * FROM walk WHERE NOT coalesce(json_type(x) = 'OBJECT' AND json_type(y) = 'OBJECT', FALSE)),
+texts AS (SELECT v, string_agg(j.fullkey || '=' || {_KIND} || CASE WHEN j.type IN ('UBIGINT', 'BIGINT', 'DOUBLE') THEN CAST(CAST(j.atom AS DOUBLE) AS VARCHAR) WHEN j.type IN ('VARCHAR', 'BOOLEAN') THEN j.atom ->> '$' ELSE '' END, ';' ORDER BY j.fullkey) AS c FROM (SELECT x AS v FROM leaves WHERE x IS NOT NULL UNION SELECT y FROM leaves WHERE y IS NOT NULL) d, json_tree(d.v) j GROUP BY v),
+states AS (SELECT f, t, i, ls, rs, unnest(list_distinct(list_concat(coalesce(map_keys(ls), []), coalesce(map_keys(rs), [])))) AS k FROM both_ WHERE in_left AND in_right)
+SELECT t AS entity_type, i AS entity_id, CASE WHEN in_left THEN 'leftOnly' ELSE 'rightOnly' END AS status, '' AS diff_path FROM both_ WHERE NOT (in_left AND in_right)
+UNION ALL SELECT t, i, 'changed', path FROM leaves LEFT JOIN texts a ON a.v = x LEFT JOIN texts b ON b.v = y WHERE a.c IS DISTINCT FROM b.c AND NOT coalesce({near}, FALSE)
+UNION ALL SELECT t, i, 'changed', '$fieldStates.' || k FROM states WHERE ls[k] IS DISTINCT FROM rs[k]"""
+
+
+_SAME_MAP = " OR ".join(f"CAST(above ->> '$.{n}' AS VARCHAR) = CAST(beside ->> '$.{n}' AS VARCHAR)" for n in ("zone", "zoneId", "map", "mapId", "uiMapId"))
+_NEAR = f"m IN ('x', 'y') AND ({_SAME_MAP}) AND abs(TRY_CAST(x ->> '$' AS DECIMAL(18, 6)) - TRY_CAST(y ->> '$' AS DECIMAL(18, 6))) <= 0.5"
+
 SQL = {
+    "p4_found": _copies(),
+    "p4_near": f"SELECT entity_type, status, diff_path, count(*) AS n_entities FROM ({_copies(_NEAR)}) GROUP BY ALL",
     "p3_found": f"WITH {_REFS} SELECT ref_table, ref_id, target_type, target_id FROM refs WHERE (target_type, target_id) NOT IN (SELECT (t, i) FROM live)",
     "p3_intervals": f"""WITH {_STEPS},
 marks AS (SELECT *, coalesce(present <> lag(present) OVER w, TRUE) AS starts FROM timeline WINDOW w AS (PARTITION BY t, i ORDER BY made)),
@@ -42,7 +66,7 @@ SELECT ref_table, strftime(made, '%Y-%m') AS period, ref_state, count(*) AS n_re
 WITH whole AS (SELECT source, source_revision, min(generated_at) AS made_at FROM manifests GROUP BY ALL HAVING bool_and(status = 'complete')),
 revs AS (SELECT source, source_revision, row_number() OVER (PARTITION BY source ORDER BY made_at) AS n FROM whole),
 cells AS (SELECT DISTINCT s.source, r.n, s.entity_type, s.entity_id, e.key AS field, e.value AS v FROM (SELECT source, source_revision, entity_type, entity_id, unnest(map_entries(attributes)) AS e FROM snapshot_rows) s JOIN revs r USING (source, source_revision) WHERE e.key <> 'fetchedAt'),
-texts AS (SELECT v, string_agg(j.fullkey || '=' || {_KIND} || CASE WHEN j.type IN ('UBIGINT', 'BIGINT', 'DOUBLE') THEN CAST(CAST(j.atom AS DOUBLE) AS VARCHAR) WHEN j.type = 'VARCHAR' THEN j.atom ->> '$' ELSE '' END, ';' ORDER BY j.fullkey) AS c FROM (SELECT DISTINCT v FROM cells) d, json_tree(d.v) j GROUP BY v),
+texts AS (SELECT v, string_agg(j.fullkey || '=' || {_KIND} || CASE WHEN j.type IN ('UBIGINT', 'BIGINT', 'DOUBLE') THEN CAST(CAST(j.atom AS DOUBLE) AS VARCHAR) WHEN j.type IN ('VARCHAR', 'BOOLEAN') THEN j.atom ->> '$' ELSE '' END, ';' ORDER BY j.fullkey) AS c FROM (SELECT DISTINCT v FROM cells) d, json_tree(d.v) j GROUP BY v),
 flat AS (SELECT DISTINCT source, n, entity_type, entity_id, field, c FROM cells JOIN texts USING (v)),
 held AS (SELECT source, n, entity_type, entity_id, string_agg(field || ':' || c, '|' ORDER BY field) AS h FROM flat GROUP BY ALL),
 pairs AS (SELECT a.source, a.n, b.n AS m, b.source_revision FROM revs a JOIN revs b ON a.source = b.source AND b.n = a.n + 1),

@@ -22,6 +22,7 @@ def queries() -> dict[str, Query]:
         references.p3_intervals,
         compare_copies.p4_found,
         compare_copies.p4_all_rows,
+        compare_copies.p4_near,
         compaction.p5_found,
         compaction.p5_spawns,
         snapshots.p6_found,

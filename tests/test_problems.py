@@ -172,6 +172,53 @@ def test_copies_of_a_hot_key_pair_at_least_cost(spark):
         assert all(sum(n for i, _, n in got if i == k) <= x for k, x in enumerate(supply)) and all(sum(n for _, j, n in got if j == k) <= x for k, x in enumerate(demand))
 
 
+@pytest.mark.parametrize("size", [130, 1000])
+def test_total_cost_of_a_large_key_is_the_least(spark, size):
+    """Against an assignment solved by another way: rows are built so that the least cost is known, and order of text misleads."""
+    import random
+
+    from quernel.operators.compare_copies import compare_copies, explode_paths
+
+    r = random.Random(size)
+    fields = [[r.randrange(1 << 30) for _ in range(5)] for _ in range(size)]
+    changed = []
+    for n, row in enumerate(fields):
+        other = list(row)
+        for place in r.sample(range(5), n % 3):  # a row has 0, 1 or 2 differing fields to its own copy, and 5 to any other
+            other[place] = r.randrange(1 << 30)
+        changed.append(other)
+    text = lambda row: '{"a":{' + ",".join(f'"{c}":{v}' for c, v in zip("abcde", row)) + '},"s":{}}'
+    side = lambda rows_: spark.createDataFrame([("k", text(x)) for x in rows_], "k string, record string")
+    out = explode_paths(compare_copies(side(fields), side([*r.sample(changed, size), [0] * 5]), ["k"]), ["k"])
+    assert {tuple(x) for x in out.groupBy("status").count().collect()} == {("changed", sum(n % 3 for n in range(size))), ("rightOnly", 1)}
+
+
+def test_copies_within_tolerance(spark):
+    from quernel.operators.compare_copies import compare_copies, explode_paths
+
+    p = lambda x, z=7, **more: '{"a":{"p":{"x":%s,"y":2,"zoneId":%s}%s},"s":{}}' % (x, z, "".join(f',"{k}":{v}' for k, v in more.items()))  # noqa: E731, UP031
+    side = lambda *xs: spark.createDataFrame([(n, x) for n, x in enumerate(xs)], "k int, record string")
+    left = side(p(1), p(1), p(1), p(1), p(1, q=1))
+    right = side(p(1.4), p(1.6), p(1.4, 8), p("1"), p(1.4, q=2))
+    got = lambda t: rows(explode_paths(compare_copies(left, right, ["k"], t), ["k"], t), ["k", "diff_path"])
+    assert got(0.5) == [(1, "p.x"), (2, "p.x"), (2, "p.zoneId"), (4, "q")]
+    assert got(None) == [(0, "p.x"), (1, "p.x"), (2, "p.x"), (2, "p.zoneId"), (4, "p.x"), (4, "q")]
+    # within a key the pairing sees the tolerance too
+    several = compare_copies(left.withColumn("k", F.lit(1)), right.withColumn("k", F.lit(1)), ["k"], 0.5)
+    assert explode_paths(several, ["k"], 0.5).count() == 4
+
+
+def test_numbers_of_any_size(spark):
+    from quernel.functions.canonical import canonical_json, canonical_map
+
+    same = [("1e31", "1" + "0" * 31), ("1e40", "1" + "0" * 40), ("1.50e2", "150.0"), ("-0.0", "0"), ('{"b":1e50,"a":1.0}', '{"a":1,"b":1' + "0" * 50 + "}"), ("1e-45", "0." + "0" * 44 + "1"), ("[1E2]", "[100]"), ("0.1e400", "1e399")]
+    other = [("1" + "0" * 40, "1" + "0" * 39 + "1"), ("1e400", "1e401"), ('"1e2"', '"100"'), ("x 007 1e5", "x 7 100000"), ("1e31", '"1e31"')]
+    df = spark.createDataFrame([(a, b, n < len(same)) for n, (a, b) in enumerate(same + other)], "a string, b string, same boolean")
+    assert [(r.x == r.y) for r in df.select(canonical_json(F.col("a")).alias("x"), canonical_json(F.col("b")).alias("y")).collect()] == [True] * len(same) + [False] * len(other)
+    whole = df.select("same", canonical_map(F.create_map(F.lit("k"), F.col("a"), F.lit("n"), F.lit(None).cast("string"))).alias("x"), canonical_map(F.create_map(F.lit("k"), F.col("b"), F.lit("n"), F.lit(None).cast("string"))).alias("y")).collect()
+    assert all((r.x == r.y) == r.same and r.x["n"] == "null" for r in whole)
+
+
 def test_copies_with_repeated_keys(spark):
     from quernel.operators.compare_copies import compare_copies, difference_paths, explode_paths, least_cost
 
@@ -180,11 +227,6 @@ def test_copies_with_repeated_keys(spark):
     left, right = side(r(a=1, b=1, c=1), r(a=2, b=2, c=2), r(a=1, b=1, c=1)), side(r(a=2, b=2, c=3), r(a=1, b=1, c=1), r(a=1, b=5, c=1), r(a=9, b=9, c=9))
     out = explode_paths(compare_copies(left, right, ["k"]), ["k"])
     assert rows(out, ["status", "diff_path"]) == [("changed", "b"), ("changed", "c"), ("rightOnly", "")]
-    # a key with more leftovers than fit one group still brings out every row
-    many = [r(a=i, b=0) for i in range(300)]
-    whole = compare_copies(side(*many), side(*[r(a=i, b=1) for i in range(310)]), ["k"], exact_group=16)
-    counts = {x.status: x["count"] for x in whole.groupBy("status").count().collect()}
-    assert counts["changed"] + counts.get("leftOnly", 0) == 300 and counts["changed"] + counts.get("rightOnly", 0) == 310
     import itertools
     import random
 
