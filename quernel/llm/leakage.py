@@ -7,7 +7,9 @@ not break them all. Only shingles that some item has can count for containment,
 other shingles are dropped before hashing; that leaves containment as it was and makes the sets
 small. Sets are then partitioned by size: a window's share of a block turns into the least
 Jaccard similarity a block of that size can have, and the number of hash functions follows from
-it, so that large blocks get as many as they need and small ones no more.
+it, so that large blocks get as many as they need and small ones no more. Several minima must
+agree, as items of ordinary text share a shingle or two with most blocks. Only the items that
+agree are verified.
 """
 
 from __future__ import annotations
@@ -16,10 +18,10 @@ import html
 import re
 import unicodedata
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from itertools import repeat
-from math import ceil, log
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +30,10 @@ from pyspark.sql import functions as F
 
 #: A passage has at least so many running words of the item.
 PASSAGE_WORDS = 12
-#: Of the 11 shingles of a window so many must be in a block, in any order.
-WINDOW_SHARED = 5
+#: Of the 11 shingles of a window so many must be in a block, in any order: one altered word in four leaves 6 or more.
+WINDOW_SHARED = 6
+#: In so many hash functions the minima of a window and a block must agree. One shared shingle that many items have seldom gives as many.
+AGREE = 4
 #: And so many must be in order: two altered words leave 7 or more.
 IN_ORDER = 7
 #: A span of a passage has at most one word in so many altered, added or left out: two in a dozen.
@@ -38,12 +42,15 @@ WORDS_AN_EDIT = 5
 LEAST_SCORE = 10
 #: A window that has its share is missed by the hashing with at most this probability; a passage has several windows.
 MISS = 1e-4
-#: Sizes of blocks that share one number of hash functions (the largest of each partition).
-SIZES = (4, 8, 16, 32, 64)
-#: Characters of item texts that one pass holds in memory; more items take more passes over the documents.
+#: Sizes of blocks that share one number of hash functions (the largest of each partition). Half of the
+#: largest holds a passage of a dozen words with two added.
+SIZES = (4, 8, 16, 32)
+#: Characters of item texts that one pass holds in memory (index and all about 60 bytes each); more items take more passes over the documents.
 ITEM_CHARS = 4_000_000
 
-_MARKUP = re.compile(r"<[^<>\n]{1,200}>|\[/?[^\W\d_]+(?:=[^\[\]\n]{0,200})?\]")
+_MARKUP = re.compile(r"<[^<>\n]+>|\[/?[^\W\d_]+(?:=[^\[\]\n]*)?\]")
+#: Scripts without spaces between words: each sign counts as a word.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 
 
 class _Plain(dict):
@@ -52,13 +59,18 @@ class _Plain(dict):
     def __missing__(self, code: int) -> str:
         parts = unicodedata.normalize("NFKD", unicodedata.normalize("NFKD", chr(code)).casefold())
         plain = "".join(c if c.isalnum() else "" if unicodedata.category(c) in ("Mn", "Cf") or (unicodedata.category(c) == "Cc" and not c.isspace()) else " " for c in parts)
-        self[code] = plain
+        self[code] = plain = _UNSPACED.sub(r" \g<0> ", plain)
         return plain
 
 
 _PLAIN = _Plain()
+
+
 def plain_words(text: str | None) -> list[str]:
-    """Words without case, accents, markup and invisible characters, in compatible forms of Unicode."""
+    """Words without case, accents, markup and invisible characters, in compatible forms of Unicode.
+
+    Of scripts without spaces between words every sign is a word.
+    """
     if not text:
         return []
     if "&" in text:
@@ -69,9 +81,16 @@ def plain_words(text: str | None) -> list[str]:
 
 
 def hashes_needed(block: int, query: int = PASSAGE_WORDS - 1, shared: int = WINDOW_SHARED, miss: float = MISS) -> int:
-    """Hash functions (bands of one row) so that a block of that size with the shared shingles is missed with probability miss."""
-    similarity = shared / (query + block - shared) if block > shared else shared / query
-    return ceil(log(miss) / log(1 - min(similarity, 0.999)))
+    """Hash functions so that a block of that size with the shared shingles agrees in fewer than AGREE of them with probability miss."""
+    similarity = min(shared / (query + block - shared) if block > shared else shared / query, 0.999)
+    hashes = AGREE
+    while sum(comb(hashes, n) * similarity**n * (1 - similarity) ** (hashes - n) for n in range(AGREE)) > miss:
+        hashes += 1
+    return hashes
+
+
+#: By number of shingles in a block.
+_HASHES = [hashes_needed(next(s for s in SIZES if n <= s)) for n in range(SIZES[-1] + 1)]
 
 
 def alignment(item: np.ndarray, words: np.ndarray) -> tuple[int, int]:
@@ -137,40 +156,88 @@ def leaked(item: np.ndarray, words: np.ndarray) -> bool:
     return score >= PASSAGE_WORDS - 2 * (PASSAGE_WORDS // WORDS_AN_EDIT) and has_passage(item, words)
 
 
+def _ranges(first: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """first[0], first[0] + 1, ... counts[0] of them, then those of the next."""
+    ends = np.cumsum(counts)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + counts, counts)
+
+
 @dataclass
 class ItemIndex:
-    """Windows of items as MinHash signatures over the shingles that items have."""
+    """Windows of items as MinHash signatures over the shingles that items have. Memory is linear in the items' words."""
 
     items: list[tuple[object, list[str]]]
     words: dict[str, int] = field(init=False)
 
     def __post_init__(self) -> None:
         self.words = {}
-        self.coded = [(key, np.array([self.words.setdefault(w, len(self.words) + 1) for w in text], dtype=np.int64)) for key, text in self.items]
+        coded = [np.array([self.words.setdefault(w, len(self.words) + 1) for w in text], dtype=np.int64) for _, text in self.items]
+        self.keys = [key for key, _ in self.items]
+        self.coded = coded
         self.base = len(self.words) + 1
-        pairs = [c[:-1] * self.base + c[1:] for _, c in self.coded]
-        self.pairs = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, dtype=np.int64)
-        self.most = max(hashes_needed(s) for s in SIZES)
+        pairs = [c[:-1] * self.base + c[1:] for c in coded]
+        every = np.concatenate(pairs) if pairs else np.zeros(0, dtype=np.int64)
+        self.pairs, joined = np.unique(every, return_inverse=True)
+        # all items one behind the other, as numbers of shingles
+        self.joined = joined.astype(np.int32)
+        self.length = np.array([len(x) for x in pairs], dtype=np.int64)
+        self.first = np.cumsum(self.length) - self.length
+        self.inside = np.zeros(max(1, len(self.pairs)), dtype=bool)
+        self.most = max(_HASHES)
         rng = np.random.default_rng(20240229)
-        # a hash function is a random order of the shingles; its minimum names the first shingle in that order
-        self.order = np.argsort(rng.random((self.most, max(1, len(self.pairs)))), axis=1).argsort(axis=1).astype(np.int32)
-        # the items (as bits) of which a window has a shingle as its minimum, by hash function and minimum
-        self.by_minimum: list[dict[int, int]] = [{} for _ in range(self.most)]
-        self.shingles = [np.searchsorted(self.pairs, own) for own in pairs]
-        for n, places in enumerate(self.shingles):
-            for start in range(max(1, len(places) - PASSAGE_WORDS + 2)):
-                lowest = self.order[:, places[start : start + PASSAGE_WORDS - 1]].min(axis=1)
-                for k, low in enumerate(lowest.tolist()):
-                    self.by_minimum[k][low] = self.by_minimum[k].get(low, 0) | 1 << n
-        # all items one behind the other, with the windows that lie within one item
-        self.joined = np.concatenate(self.shingles) if pairs else np.zeros(0, dtype=np.int64)
-        lengths = np.array([len(x) for x in self.shingles], dtype=np.int64)
-        first = np.concatenate(([0], np.cumsum(lengths)))[:-1] if len(lengths) else lengths
-        counts = np.maximum(1, lengths - PASSAGE_WORDS + 2)
-        self.window_of = np.repeat(np.arange(len(lengths)), counts)
-        self.window_at = np.concatenate([f + np.arange(c) for f, c in zip(first, counts, strict=True)]) if pairs else lengths
-        self.window_end = np.minimum(self.window_at + PASSAGE_WORDS - 1, (first + lengths)[self.window_of]) if pairs else lengths
-        self.window_first = np.concatenate(([0], np.cumsum(counts)))[:-1] if pairs else lengths
+        # a hash function gives the shingles a random order; a minimum is the first shingle in that order
+        self.noise = rng.integers(0, 1 << 32, max(1, len(self.pairs)), dtype=np.uint32)
+        self.times = rng.integers(0, 1 << 31, self.most, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+        self.plus = rng.integers(0, 1 << 32, self.most, dtype=np.uint32)
+        self.offset = np.arange(self.most) * len(self.pairs)
+        self._sign()
+
+    def _sign(self) -> None:
+        """The items of which a window has a shingle as its minimum, sorted by hash function and minimum."""
+        width = PASSAGE_WORDS - 1
+        windows = np.maximum(self.length - width + 1, 0)
+        at, owner = _ranges(self.first, windows), np.repeat(np.arange(len(self.length), dtype=np.int32), windows)
+        low, item = [], []
+        for k in range(self.most if len(at) else 0):
+            # the order above, the number of the shingle below
+            least = (self.noise[self.joined] * self.times[k] + self.plus[k]).astype(np.uint64) << np.uint64(32) | self.joined.astype(np.uint64)
+            have = 1
+            while have < width:
+                step = min(have, width - have)
+                least = np.minimum(least[:-step], least[step:])
+                have += step
+            first = (least[at] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+            # windows next to each other mostly share their minimum
+            new = np.append(True, (first[1:] != first[:-1]) | (owner[1:] != owner[:-1]))
+            first, mine = first[new], owner[new]
+            order = np.argsort(first, kind="stable")
+            low.append(first[order] + k * len(self.pairs))
+            item.append(mine[order])
+        self.low = np.concatenate(low) if low else np.zeros(0, dtype=np.int64)
+        self.item = np.concatenate(item) if item else np.zeros(0, dtype=np.int32)
+
+    def near(self, distinct: np.ndarray) -> np.ndarray:
+        """Numbers of the items the windows of which agree with a block of these shingles in AGREE minima."""
+        hashes = _HASHES[len(distinct)]
+        first = distinct[(self.noise[distinct] * self.times[:hashes, None] + self.plus[:hashes, None]).argmin(axis=1)]
+        wanted = first + self.offset[:hashes]
+        start = np.searchsorted(self.low, wanted)
+        counts = np.searchsorted(self.low, wanted, side="right") - start
+        items = self.item[_ranges(start, counts)]
+        if len(items) < AGREE:
+            return items[:0]
+        return np.flatnonzero(np.bincount(items) >= AGREE)
+
+    def holding(self, near: np.ndarray, distinct: np.ndarray) -> np.ndarray:
+        """Those of the items a window of which shares WINDOW_SHARED shingles with the block, exactly counted."""
+        length, width = self.length[near], PASSAGE_WORDS - 1
+        self.inside[distinct] = True
+        total = np.concatenate(([0], np.cumsum(self.inside[self.joined[_ranges(self.first[near], length)]])))
+        self.inside[distinct] = False
+        windows = length - width + 1
+        at = _ranges(np.cumsum(length) - length, windows)
+        best = np.maximum.reduceat(total[at + width] - total[at], np.cumsum(windows) - windows)
+        return near[best >= WINDOW_SHARED]
 
     def places(self, ids: np.ndarray) -> np.ndarray:
         """Of each word, the number of the shingle that begins there, or -1."""
@@ -184,31 +251,22 @@ class ItemIndex:
         return found
 
     def candidates(self, places: np.ndarray) -> dict[int, list[int]]:
-        """Item number -> starts of the blocks of a document in which a window of it may have its share."""
+        """Item number -> starts of the blocks of a document in which a window of it has its share."""
         found: dict[int, list[int]] = {}
         at = np.flatnonzero(places >= 0)
+        if len(at) < WINDOW_SHARED:
+            return found
         width = SIZES[-1]
-        inside = np.zeros(max(1, len(self.pairs)), dtype=np.int32)
-        for start in range(int(at[0]) if len(at) else 0, int(at[-1]) + 1 if len(at) else 0, width // 2):
-            block = places[at[np.searchsorted(at, start) : np.searchsorted(at, start + width)]]
-            if len(block) < WINDOW_SHARED:
-                continue
-            distinct = np.array(sorted(set(block.tolist())))
+        starts = np.arange(at[0], at[-1] + 1, width // 2)
+        lows, highs = np.searchsorted(at, starts), np.searchsorted(at, starts + width)
+        enough = highs - lows >= WINDOW_SHARED
+        for start, low, high in zip(starts[enough].tolist(), lows[enough].tolist(), highs[enough].tolist(), strict=True):
+            distinct = np.array(sorted(set(places[at[low:high]].tolist())))
             if len(distinct) < WINDOW_SHARED:
                 continue
-            hashes = hashes_needed(next(s for s in SIZES if len(distinct) <= s))
-            near = 0
-            for known, low in zip(self.by_minimum, self.order[:hashes, distinct].min(axis=1).tolist(), strict=False):
-                near |= known.get(low, 0)
-            if not near:
-                continue
-            # exact containment of the best window of each item
-            inside[distinct] = 1
-            total = np.concatenate(([0], np.cumsum(inside[self.joined])))
-            inside[distinct] = 0
-            best = np.maximum.reduceat(total[self.window_end] - total[self.window_at], self.window_first)
-            for n in np.flatnonzero(best >= WINDOW_SHARED).tolist():
-                if near >> n & 1:
+            near = self.near(distinct)
+            if len(near):
+                for n in self.holding(near, distinct).tolist():
                     found.setdefault(n, []).append(start)
         return found
 
@@ -218,7 +276,7 @@ class ItemIndex:
         A passage of a dozen words with two altered, added or left out keeps 7 shingles within 2 places of
         one distance and 12 of the item; the same words in another order do not.
         """
-        own = self.shingles[n]
+        own = self.joined[self.first[n] : self.first[n] + self.length[n]]
         here = np.zeros(len(self.pairs) + 1, dtype=bool)
         here[own] = True
         at = np.flatnonzero(here[places])  # no shingle is -1, the last place
@@ -246,7 +304,7 @@ class ItemIndex:
         found = []
         places = self.places(ids)
         for n, starts in self.candidates(places).items():
-            key, item = self.coded[n]
+            key, item = self.keys[n], self.coded[n]
             reach = len(item) + SIZES[-1]
             done = -1
             for start in starts:
@@ -260,26 +318,30 @@ class ItemIndex:
         return found
 
 
-def _blocks(items: list[tuple[object, str | None]]) -> list[list[tuple[object, str | None]]]:
-    """Items in blocks of at most ITEM_CHARS characters (or one item)."""
-    out: list[list[tuple[object, str | None]]] = [[]]
+def _blocks(items: Iterable[tuple[object, str | None]]) -> Iterator[list[tuple[object, list[str]]]]:
+    """Words of the items that can have passages, in blocks of at most ITEM_CHARS characters (or one item)."""
+    block: list[tuple[object, list[str]]] = []
     size = 0
     for key, text in items:
-        if out[-1] and size + len(text or "") > ITEM_CHARS:
-            out.append([])
-            size = 0
-        out[-1].append((key, text))
+        words = plain_words(text)
+        if len(words) < PASSAGE_WORDS:
+            continue
+        if block and size + len(text or "") > ITEM_CHARS:
+            yield block
+            block, size = [], 0
+        block.append((key, words))
         size += len(text or "")
-    return out
+    if block:
+        yield block
 
 
 def find_leaks(documents: DataFrame, items: DataFrame, doc: str = "doc_id", text: str = "text", item: str = "item_id") -> DataFrame:
     """(doc, item) of every document in which a passage of an item stands, each pair once.
 
-    documents: doc, text; items: item, text, a stated set of queries. Items are read to the driver in
-    blocks of bounded size, each compared with all documents in one pass without a shuffle; further
-    items take further passes. Null, empty and short texts have no passages; repeated documents are
-    found each by itself; items with the same text all count; an empty side gives no rows.
+    documents: doc, text; items: item, text, a stated set of queries. Items pass through the driver one
+    partition and one block of ITEM_CHARS at a time; each block is compared with all documents in one pass
+    without a shuffle, further blocks take further passes. Null, empty and short texts have no passages;
+    repeated documents are found each by itself; items with the same text all count; an empty side gives no rows.
     """
     spark = documents.sparkSession
     rows = documents.select(F.col(doc).alias("_doc"), F.col(text).alias("_text")).filter("_doc IS NOT NULL AND length(_text) > 0")
@@ -287,11 +349,8 @@ def find_leaks(documents: DataFrame, items: DataFrame, doc: str = "doc_id", text
     kinds = rows.schema[0].dataType.simpleString(), queries.schema[0].dataType.simpleString()
     schema = f"`{doc}` {kinds[0]}, `{item}` {kinds[1]}"
     result = None
-    for block in _blocks([(r[0], r[1]) for r in queries.distinct().toLocalIterator()]):
-        texts = [(key, words) for key, t in block if len(words := plain_words(t)) >= PASSAGE_WORDS]
-        if not texts:
-            continue
-        shared, name = spark.sparkContext.broadcast(texts), uuid.uuid4().hex
+    for block in _blocks((r[0], r[1]) for r in queries.distinct().toLocalIterator()):
+        shared, name = spark.sparkContext.broadcast(block), uuid.uuid4().hex
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared, name=name) -> Iterator[pa.RecordBatch]:
             index = _index(name, shared)

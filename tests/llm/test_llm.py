@@ -174,6 +174,72 @@ def test_leaks_of_a_dozen_words_with_edits(spark):
     assert found == {n for n, (_, leaks) in enumerate(cases) if leaks}
 
 
+def altered(r, words, edits, spare):
+    """words with so many of those between the ends altered, dropped or with one added before them."""
+    out = [[w] for w in words]
+    for n in r.sample(range(1, len(words) - 1), edits):
+        out[n] = r.choice([[r.choice(spare)], [], [r.choice(spare), words[n]]])
+    return [w for x in out for w in x]
+
+
+@pytest.mark.parametrize(("size", "edits", "least"), [(12, 0, 1), (12, 1, 0.99), (12, 2, 0.99), (13, 2, 0.99), (16, 3, 0.99), (20, 4, 0.99), (40, 8, 0.99)])
+def test_recall_of_passages(size, edits, least):
+    """Passages of items of 60 words in documents of unrelated words; words are drawn with the weights of ordinary text."""
+    import numpy as np
+
+    from quernel.llm.leakage import ItemIndex
+
+    r = random.Random(size * 100 + edits)
+    vocabulary, weights = [f"w{n}" for n in range(5000)], [1 / (n + 3) for n in range(5000)]
+    draw = lambda n: r.choices(vocabulary, weights, k=n)
+    items = [(n, draw(60)) for n in range(200)]
+    index, found = ItemIndex(items), 0
+    for n, words in items:
+        at = r.randrange(60 - size)
+        text = draw(r.randrange(80)) + altered(r, words[at : at + size], edits, [f"x{n}" for n in range(99)]) + draw(r.randrange(80))
+        leaks = index.search(np.array([index.words.get(w, 0) for w in text]))
+        found += n in leaks
+    assert found >= least * len(items)
+
+
+def test_what_is_no_passage():
+    """Quotations of 11 words, and passages with their words in another order."""
+    import numpy as np
+
+    from quernel.llm.leakage import ItemIndex
+
+    r = random.Random(8)
+    vocabulary = [f"w{n}" for n in range(5000)]
+    items = [(n, r.choices(vocabulary, k=60)) for n in range(200)]
+    index, wrong = ItemIndex(items), 0
+    for _, words in items:
+        at = r.randrange(40)
+        for cut in (words[at : at + 11], r.sample(words[at : at + 20], 20)):
+            text = r.choices(vocabulary, k=50) + cut + r.choices(vocabulary, k=50)
+            wrong += len(index.search(np.array([index.words.get(w, 0) for w in text])))
+    assert wrong <= 4
+
+
+def test_the_index_grows_with_the_words_only():
+    from quernel.llm.leakage import ItemIndex
+
+    r = random.Random(3)
+    size = {}
+    for n in (100, 1000):
+        index = ItemIndex([(i, [f"w{r.randrange(9999)}" for _ in range(60)]) for i in range(n)])
+        size[n] = sum(x.nbytes for x in (index.low, index.item, index.joined, index.pairs, index.noise))
+    assert size[1000] < 11 * size[100] < 11 * 100 * 60 * 400
+
+
+def test_words_without_spaces_and_long_tags(spark):
+    item = "".join(chr(0x4E00 + n * 7) for n in range(40))
+    items = spark.createDataFrame([(7, item), (8, ITEM)], "item_id long, text string")
+    tag = "<span data-x='" + "y" * 900 + "'>"
+    words = ITEM.split()
+    found = {tuple(r) for r in find_leaks(docs(spark, "x" + item[5:19] + "，y", item[5:16], " ".join(words[:8]) + tag + " ".join(words[8:])), items).collect()}
+    assert found == {(0, 7), (2, 8)}
+
+
 def test_leaks_in_several_passes(spark, monkeypatch):
     from quernel.llm import leakage
 
