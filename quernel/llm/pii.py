@@ -1,18 +1,23 @@
 """Personal information in free text: candidates, boosted trees, typed placeholders.
 
-High-recall generators propose overlapping spans of every kind; each span is described by its
-format and by the words around it; boosted trees, one set per kind, trained on the labelled
-sentences of pii_seed, say how likely it is real; cutoffs calibrated on held-out sentences select,
-and of overlapping spans the likeliest stays. All of it runs on a folded copy of the text (base
-letters, plain digits and spaces, nothing invisible) whose places map back to the original.
+High-recall generators propose overlapping spans of every kind; names are proposed by their shape, every
+two or more words with capitals next to each other, particles between them or not; each span is
+described by its format, by how much its words look like names, and by the words and finds around
+it; boosted trees, one set per kind, trained once on the labelled sentences of pii_seed and
+pii_general, say how likely it is real; cutoffs calibrated on held-out sentences select, and of
+overlapping spans the likeliest stays. All of it runs on a folded copy of the text (base letters,
+plain digits and spaces, nothing invisible) whose places map back to the original.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from math import log
 
 import ahocorasick
 import numpy as np
@@ -50,9 +55,13 @@ nathan neil nerea nils noemie nuria olaf olivia owen paloma pamela pauline quent
 sean sebastien shirley sigrid silvain solene sonja steffen stuart svenja sylvain tanja theodore tim tina tom udo ulf vicente wendy xavi yann yolanda zoe
 """.split()
 
+_GIVEN_SET = frozenset(GIVEN_NAMES)
+
 #: Words after which a name is a character of the game.
 TITLES = "captain elder sister foreman overseer quartermaster brother-in-arms lord lady king queen prince princess sir warden commander sergeant general priestess apothecary npc".split()
 
+_TITLE_SET = frozenset(TITLES)
+
 #: Small words of five languages that are no part of a name.
 SMALL_WORDS = set("""
 a about after al also an and another are as at aus auf avec bei but by can con da dans das de dejo del den der des die did dies do du durch e ein eine el elle
@@ -93,6 +102,130 @@ _GAME_AFTER = {
 }
 
 
+#: Words that say, somewhere near, what a span is.
+_CUES = {
+    "email": r"\b(?:e-?mail|mail|contact|reach|write|from|to)\b",
+    "phone": r"\b(?:phone|tel|telefon\w*|telephone|tel|mobile?|handy|cell|fax|call\w*|ring|text|whatsapp|number|reach|anruf\w*|angerufen|llam\w*|appel\w*)\b",
+    "id_number": r"\b(?:nhs|insurance|passport|licen[cs]e|licence|tax|steuer\w*|sozial\w*|codice|fiscale|aadhaar|pesel|bsn|personnummer|ssn|social|securite|sociale|identit\w+|id|ausweis\w*|reisepass|dni|nie|nif|born)\b",
+    "address": r"\b(?:lives?|living|address|adresse|direccion|deliver\w*|ship|send|moved|package|wohn\w*|vive|habite|abit\w+|treffpunkt|met|meet\w*|at)\b",
+    "name": r"\b(?:mr|mrs|ms|miss|dr|prof|herr|frau|monsieur|mme|madame|senor|senora|sr|sra|signora?|pan|pani|name|named|called|signed|signature|regards|sincerely|dear|hi|hello|contact|call|ask|customer|client|patient|tenant|passenger|colleague|neighbour|neighbor|teacher|lawyer|doctor|witness|applicant|friend|person|from|by|with|mit|avec|con|von|grussen|saludos|cordialement|cc|met|hired)\b",
+}
+_CUE = {k: re.compile(v) for k, v in _CUES.items()}
+_CUE_AT_END = re.compile(_CUES["name"] + r"\W*$")
+#: What persons do, behind a name; and what only happens in a game, on either side.
+_DOES = re.compile(r"(?:'s)?\W*(?:lives|lived|said|says|wrote|sent|called|works|worked|signed|born|told|phoned|replied|joined|moved|paid|booked|checked|left|will|has|hat|wohnt|a|vive|abita|checked|tel|phone|<|\+|again|this|about|for|in today)\b")
+_PLAY = re.compile(r"\b(?:quests?|npc|boss|vendor|spawns?|patrols?|loot|drops?|level|lvl|raid|dungeon|kill|mob|guards?|sells|respawn\w*|guild|hits|chest|gold|stands near)\b|\d\d?\.\d, ?\d\d?\.\d")
+#: Words with a capital, and what joins them to a name.
+_CAPITAL = r"[A-ZŁØÆÐÞŒÇΑ-ΩА-ЯЁ]"
+_LETTER = r"[^\W\d_\u0e00-\u0eff\u3040-\u9fff\uac00-\ud7af]"
+_PART = rf"(?:{_CAPITAL}{_LETTER}*(?:['-]{_LETTER}+)*)"
+_PARTICLE = r"(?:(?:de|la|las|los|del|della|van|von|der|den|ten|ter|di|da|do|dos|das|du|le|bin|ibn|al|el|ben|zu|zum|af|y|e)\.? ){1,3}"
+_PIECE = re.compile(_PART)
+_JOINED = re.compile(rf" {_PARTICLE}")
+#: A span proposed by its shape whose words look less like names than this, on average, is not considered: 0.6 in a hundred names.
+_UNLIKE = -0.6
+
+
+def _shapes(text: str) -> Iterator[tuple[int, int, int]]:
+    """(start, end, form) of two to four words with capitals next to each other, 5 to 7, or turned round a comma, 8.
+
+    Not behind an article, and not with a title: those are things, or characters of the game.
+    """
+    run: list[tuple[int, int, float]] = []
+    turned: tuple[int, float] | None = None
+    size = len(text)
+    for m in _PIECE.finditer(text):
+        a, b = m.span()
+        word = m[0].lower()
+        if b - a > 1 and (word in SMALL_WORDS or word in _TITLE_SET):
+            run, turned = [], None
+            continue
+        gap = text[run[-1][1] : a] if run and a - run[-1][1] < 16 else ""
+        if not gap and a and (text[a - 1] in "@+'-_." or text[a - 1].isalnum()) or b < size and (text[b] in "@_" or text[b].isdigit()):
+            run, turned = [], None  # inside a word, a mail address or a name on a screen
+            continue
+        here = (a, b, likeness(word) if b - a > 1 else 0.0)
+        if gap != " " and not (gap == ". " and run[-1][1] - run[-1][0] == 1) and not (3 < len(gap) < 16 and _JOINED.fullmatch(gap)):
+            turned = (run[-1][0], run[-1][2]) if gap == ", " and run[-1][1] - run[-1][0] > 1 else None
+            run = []
+        run.append(here)
+        if turned is not None and b - a > 1 and len(run) < 3 and turned[1] + sum(x[2] for x in run) >= _UNLIKE * (len(run) + 1):
+            yield turned[0], b, 8
+        if b - a > 1:
+            total, known = here[2], 1
+            for n in range(2, min(4, len(run)) + 1):
+                first = run[-n]
+                if first[1] - first[0] > 1:
+                    total, known = total + first[2], known + 1
+                if total >= _UNLIKE * known and text[max(0, first[0] - 5) : first[0]].rpartition(" ")[0].rpartition(" ")[2].lower() not in _ARTICLES:
+                    yield first[0], b, 3 + n
+
+
+class _Around:
+    """What the spans of one text have around them."""
+
+    def __init__(self, found: list[tuple[str, int, int, int]]) -> None:
+        self.others = sorted(p for kind, a, b, _ in found if kind != "name" for p in (a, b))
+
+    def near(self, start: int, end: int) -> bool:
+        """Whether a candidate of another kind is within 40 places."""
+        n = bisect_left(self.others, start - 40)
+        return n < len(self.others) and self.others[n] < end + 40
+
+
+_CUE_WORDS = frozenset(re.findall(r"[a-z]{2,}", _CUES["name"].replace("\\b", " ").replace("(?:", " ").replace("?", " ")))
+_ARTICLES = frozenset("the a an this that der die das den dem ein eine einen le la les un une el los las una lo il gli objet objeto l".split())
+_DOES_WORDS = frozenset("lives lived said says wrote sent called works worked signed born told phoned replied joined moved paid booked checked left will has hat wohnt vive abita habite tel phone and und et y".split())
+
+
+#: Endings of words that say how something is done.
+_ADVERBS = ("ly", "ment", "mente", "weise")
+_EDGE = ".,:;!?()<>\"'"
+
+
+def shape_features(text: str, low: str, around: _Around, start: int, end: int, form: int) -> list[float]:
+    """Words and context of a span proposed as a name by its shape. Such spans are many, so nothing here costs much."""
+    span = text[start:end]
+    words = [w for w in low[start:end].replace(",", " ").replace(".", " ").split() if w not in SMALL_WORDS or len(w) == 1]
+    scores = [likeness(w) for w in words if len(w) > 1] or [0.0]
+    before, behind = low[max(0, start - 30) : start].split(), low[end : end + 30].split()
+    near, next_ = before[-1].strip(_EDGE) if before else "", behind[0].strip(_EDGE) if behind else ""
+    last, first = text[max(0, start - 2) : start], text[end : end + 2]
+    return [
+        float(form), scores[0], scores[-1], min(scores), sum(scores) / len(scores), float(any(w in _GIVEN_SET for w in words)), float(around.near(start, end)),
+        float(near in _CUE_WORDS), float(next_ in _DOES_WORDS or next_.endswith("'s") or low[end : end + 2] == "'s"), float(before[-2].strip(_EDGE) in _CUE_WORDS) if len(before) > 1 else 0.0,
+        float(last[:1].isalpha() and last[-1:] == " "), float(text[max(0, start - len(before[-1]) - 1) : start][:1].isupper()) if before else 0.0, float(first[:1] == " " and first[1:].isupper()),
+        float(last[-1:] in "\n:,;(" or not last), float(last[:1] in ".!?:" or not last), float(first[:1] in "\n.,;:)<'" or not first), float(span.isupper()),
+        float(near in _ARTICLES or near.rpartition("'")[2] in _ARTICLES), float(near in _TITLE_SET), float(span.isupper() and text[max(0, start - 12) : start].isupper()), float(span.isupper() and text[end : end + 12].isupper()),
+        float(len(words)), float(sum(map(len, words)) / max(1, len(words))), float(near in SMALL_WORDS), float(next_ in SMALL_WORDS), float(words[-1].endswith(_GAME_ENDINGS)) if words else 0.0, float(_PLAY.search(low, max(0, start - 50), end + 50) is not None), float(low.find("'", start, end) >= 0), float("-" in span), float(words[0].endswith(_ADVERBS)) if words else 0.0,
+    ]
+
+
+def _grams(word: str) -> list[str]:
+    whole = f"^{word.lower()}$"
+    return [whole[n : n + 3] for n in range(len(whole) - 2)] + [whole[-4:], whole[:4]]
+
+
+@lru_cache(maxsize=1)
+def _gram_weights() -> dict[str, float]:
+    from quernel.llm.pii_general import score_words
+    from quernel.llm.pii_seed import other_words, personal_words
+
+    persons, others = score_words()
+    good = Counter(g for w in [*persons, *GIVEN_NAMES, *personal_words()] for g in _grams(fold(w)[0]))
+    bad = Counter(g for w in [*others, *SMALL_WORDS, *other_words()] for g in _grams(fold(w)[0]))
+    more, less = sum(good.values()), sum(bad.values())
+    return {g: log((good[g] + 1) / more) - log((bad[g] + 1) / less) for g in good.keys() | bad.keys()}
+
+
+@lru_cache(maxsize=1 << 16)
+def likeness(word: str) -> float:
+    """How much a word looks like a part of a name: mean log odds of its letters by threes."""
+    weights = _gram_weights()
+    grams = _grams(word)
+    return round(sum(weights.get(g, 0.0) for g in grams) / len(grams), 2)
+
+
 class _Fold(dict):
     """Single letters to their base letter, compatible form or plain space; length never changes."""
 
@@ -142,8 +275,16 @@ _ID_SHAPES = [
         r"(?<![\w.-])\d{2}\.?\d{3}\.?\d{3}[- ]?[a-z](?![\w-])",
         r"(?<![\w.-])[12] ?\d\d ?\d\d ?(?:\d\d|2[ab]) ?\d{3} ?\d{3} ?\d\d(?![\w-])",
         r"(?<![\w.#=,-])(?<!for )\d{9}(?!\w|[.,-]\d)",
+        r"(?<![\w.#=,-])\d{3}[ -]\d{3}[ -]\d{4}(?!\w|[.,-]\d)",
+        r"(?<![\w.#=,-])\d{2} \d{3} \d{3} \d{3}(?!\w|[.,-]\d)",
+        r"(?<![\w.#=,-])\d{4} \d{4} \d{4}(?!\w|[.,-]\d)",
+        r"(?<![\w.#=,-])\d{11}(?!\w|[.,-]\d)",
+        r"(?<![\w.#=,-])\d{6}[-+a]\d{3}[\da-z](?!\w|[.,-]\d)",
     )
 ]
+#: Letters and digits in one word, as on cards and licences.
+_MIXED = re.compile(r"[A-Z]\d{2}[A-Z0-9]{4,12}(?![\w-])")
+_LETTERS_BEFORE = re.compile(r"(?<![\w.-])[A-Z]{0,5}$")
 _WAY_EN = r"(?:street|str|st|road|rd|avenue|ave|lane|ln|crescent|cres|row|way|drive|dr|close|court|ct|terrace|place|pl|square|sq|boulevard|blvd|walk|gardens|mews|hill)"
 _ADDRESSES = [
     re.compile(p, re.IGNORECASE)
@@ -152,6 +293,11 @@ _ADDRESSES = [
         r"\b[\w-]*\w{3}(?:strasse|straße|str\.|gasse|weg|allee|platz|ufer|ring|damm|steig) ?\d{1,4}(?: ?[a-z])?\b",
         r"(?<![\w#.,/])\d{1,4}(?: ?bis| ?ter)?,? (?:rue|quai|impasse|avenue|av\.|boulevard|bd|place|chemin|allee|cours|route|square|passage)\b(?: de la| de l'| du| des| de| d')?[ ]?[\w'-]+",
         r"(?:\b(?:calle|plaza|pza\.?|avenida|avda?\.?|paseo|camino|ronda|travesia)|\bc/)(?: de la| de los| de las| del| de)? ?[a-z][\w'-]*(?: [a-z][\w'-]+){0,3}?,? (?:n\.?[ºo]? ?)?\d{1,4}\b",
+        r"\b[a-z][\w-]+ (?:strasse|straße|str\.|gasse|weg|allee|platz|ufer|ring|damm|steig) ?\d{1,4}(?: ?[a-z])?\b",
+        r"\b(?:via|viale|piazza|corso|rua|largo|praca)(?: d[aeio]s?| dell[aeo']| del| san| santa)? ?[a-z][\w'-]*(?: [a-z][\w'-]+){0,2}?,? (?:n\.?[ºo]? ?)?\d{1,4}\b",
+        r"\b[a-z][\w-]*(?:straat|laan|gracht|plein|gatan|vagen|gade|vej) ?\d{1,4}(?: ?[a-z])?\b",
+        r"\b(?:ul\.|ulica) ?[a-z][\w'-]*(?: [a-z][\w'-]+)? \d{1,4}(?:/\d{1,3})?\b",
+        r"\b(?:p\. ?o\. ?box|po box|postfach|apartado) \d{1,6}\b",
     )
 ]
 #: Where an address can be, one pattern per form, cheap to look for: a kind of way with a number near it.
@@ -174,6 +320,11 @@ _TRIGGERS = {
     "strasse": ["strasse", "straße", "str.", "gasse", "weg ", "allee ", "platz ", "ufer ", "ring ", "damm ", "steig "],
     "rue": [" rue ", " quai ", " impasse ", " avenue ", " av.", " boulevard ", " bd ", " place ", " chemin ", " allee ", " cours ", " route ", " square ", " passage "],
     "calle": ["calle ", "plaza ", "pza", "avenida ", "avda", "paseo ", "camino ", "ronda ", "travesia ", "c/ "],
+    "strasse apart": [" strasse", " straße", " str.", " gasse", " weg ", " allee ", " platz ", " ufer ", " ring ", " damm ", " steig "],
+    "via": ["via ", "viale ", "piazza ", "corso ", "rua ", "largo ", "praca "],
+    "straat": ["straat ", "laan ", "gracht ", "plein ", "gatan ", "vagen ", "gade ", "vej "],
+    "ulica": ["ul. ", "ulica "],
+    "box": ["po box", "p.o. box", "p. o. box", "postfach", "apartado"],
     "after": ["my real name is ", "thanks to ", "someone: ", "author=", "brother ", "reported by ", "ask for ", "i told ", "best,\n", "regards,\n", "merci a ", "frere ", "signale par ", "cordialement,\n", "gracias a ", "hermano ", "avisado por ", "saludo,\n", "danke an ", "bruder ", "gemeldet von ", "grusse\n", "my name is "],
     "before": [" lives at ", " wohnt ", " vive en ", " habite "],
 }
@@ -199,7 +350,7 @@ _COMMON = re.compile(r"20\d\d-[01]\d-[0-3]\d|\d{1,2}\.\d{1,2}\.\d{1,2}\.\d{5}|\d
 #: What may part two numbers of one cluster: dates, builds and places, and signs with a space on either side.
 _APART = re.compile(rf"(?<!\d)(?:{_COMMON.pattern})(?!\d)| [/\-] ")
 #: Where the number stands beside the word for the way: before it, or behind it.
-_REACH = {"address": lambda a, b: (max(0, a - 40), a), "strasse": lambda a, b: (b, b + 5), "rue": lambda a, b: (max(0, a - 8), a), "calle": lambda a, b: (b, b + 50)}
+_REACH = {"address": lambda a, b: (max(0, a - 40), a), "strasse": lambda a, b: (b, b + 5), "rue": lambda a, b: (max(0, a - 8), a), "calle": lambda a, b: (b, b + 50), "strasse apart": lambda a, b: (b, b + 5), "via": lambda a, b: (b, b + 50), "straat": lambda a, b: (b, b + 5), "ulica": lambda a, b: (b, b + 30), "box": lambda a, b: (b, b + 4)}
 _PAIR = re.compile(rf"({_SURNAME})(?:,? [^\W\d_]\.)?,? ({_SURNAME})(?: [^\W\d_]\.)?(?![\w@])")
 _PAIR_BEFORE = re.compile(rf"(?<![\w@.+-])({_SURNAME})(?: [^\W\d_]\.)?,? ({_SURNAME})(?: [^\W\d_]\.)?$")
 
@@ -239,7 +390,7 @@ def candidates(text: str, low: str) -> list[tuple[str, int, int, int]]:
     """
     found: list[tuple[str, int, int, int]] = []
     mails: list[int] = []
-    streets: dict[str, list[int]] = {"address": [], "strasse": [], "rue": [], "calle": []}
+    streets: dict[str, list[int]] = {kind: [] for kind in _REACH}
     size = len(low)
     for end, (length, kinds) in _triggers().iter(low):
         start, end = end - length + 1, end + 1
@@ -287,6 +438,9 @@ def candidates(text: str, low: str) -> list[tuple[str, int, int, int]]:
             found.append(("phone", m.start() + (m[0][0] == "(" and _AREA.match(m[0]) is None), m.end(), 0))
         for n, shape in enumerate(_ID_SHAPES):
             found += [("id_number", m.start(), m.end(), n) for m in shape.finditer(text, a, b)]
+    for m in _MIXED.finditer(text):
+        if (start := _LETTERS_BEFORE.search(text, max(0, m.start() - 7), m.start())) is not None:
+            found.append(("id_number", start.start(), m.end(), len(_ID_SHAPES)))
     at = low.find(". ")
     while at >= 0:
         if at and low[at - 1].isalpha() and (at < 2 or not (low[at - 2].isalnum() or low[at - 2] in "_.'-")):
@@ -301,6 +455,11 @@ def candidates(text: str, low: str) -> list[tuple[str, int, int, int]]:
             if m and m[1] not in SMALL_WORDS:
                 found.append(("name", m.start(), m.end(), 3))
         at = low.find(", ", at + 2)
+    known = {(a, b) for kind, a, b, _ in found if kind == "name"}
+    for a, b, form in _shapes(text):
+        if (a, b) not in known:
+            known.add((a, b))
+            found.append(("name", a, b, form))
     return found
 
 
@@ -327,50 +486,70 @@ def features(text: str, low: str, kind: str, start: int, end: int, form: int) ->
     digits = len(_NUMBER.findall(span))
     before = text[start - 1] if start else "\n"
     row += [float(before in "\n\r"), float(before in "<(\"'"), float(right[:1] in "\n\r" if right else True), float(right[:1] in ".,;:)>")]
+    left, wide = low[max(0, start - 45) : start], low[max(0, start - 60) : end + 60]
+    row += [float(_CUE[kind].search(left) is not None), float(_PLAY.search(wide) is not None)]
     if kind == "email":
         parts = re.split(r"@|[(\[] ?at ?[)\]]| at ", plain)
         domain = parts[-1]
-        row += [float(bool(re.search(r"\.|dot", domain))), float(" " in parts[0].strip()), float(bool(re.search(r"(?:example|test|invalid|com|net|org|de|fr|es|uk|info|io)\W*$", domain))), float(len(parts[0])), float(plain.count(" "))]
+        row += [float(bool(re.search(r"\.|dot", domain))), float(" " in parts[0].strip()), float(bool(re.search(r"(?:example|test|invalid|com|net|org|de|fr|es|uk|info|io)\W*$", domain))), float(len(parts[0])), float(plain.count(" ")), float(bool(re.search(r"[a-z]{2,}$", domain)))]
     elif kind == "phone":
-        row += [float(digits), float(_INTERNATIONAL.match(span) is not None), float(_DATE.search(span) is not None), float(len(re.findall(r"\d+", span))), float("(" in span), float(any(p.fullmatch(span) for p in _PHONE_FORMS)), float(span.isdigit()), float(bool(re.match(r"\d{1,3}\.\d{1,2}\b", span))), float(bool(re.fullmatch(r"\d{3}[- ]\d{2}[- ]\d{4}", span))), float(bool(re.fullmatch(r"[12](?: ?\d\d){3} ?\d{3} ?\d{3} ?\d\d", span))), float(span[0] == "0"), float(bool(re.fullmatch(r"\d+(?:\.\d+){2,}", span))), float(" - " in span or " / " in span)]
+        row += [float(digits), float(_INTERNATIONAL.match(span) is not None), float(_DATE.search(span) is not None), float(len(re.findall(r"\d+", span))), float("(" in span), float(any(p.fullmatch(span) for p in _PHONE_FORMS)), float(span.isdigit()), float(bool(re.match(r"\d{1,3}\.\d{1,2}\b", span))), float(bool(re.fullmatch(r"\d{3}[- ]\d{2}[- ]\d{4}", span))), float(bool(re.fullmatch(r"[12](?: ?\d\d){3} ?\d{3} ?\d{3} ?\d\d", span))), float(span[0] == "0"), float(bool(re.fullmatch(r"\d+(?:\.\d+){2,}", span))), float(" - " in span or " / " in span), float(_CUE["id_number"].search(left) is not None), float("," in span)]
     elif kind == "id_number":
-        row += [float(digits), float(digits + sum(c.isalpha() for c in span)), float(span[0].isdigit()), float(bool(re.search(r"[a-f0-9]{7,}", plain)) and not span.isdigit() and "-" not in span and form not in (1, 2, 3, 4)), float(any(c in span for c in " -."))]
+        row += [float(digits), float(digits + sum(c.isalpha() for c in span)), float(span[0].isdigit()), float(bool(re.search(r"[a-f0-9]{7,}", plain)) and not span.isdigit() and "-" not in span and form not in (1, 2, 3, 4)), float(any(c in span for c in " -.")), float(_CUE["phone"].search(left) is not None), float(span.isupper()), float(len(re.findall(r"\d+", span))), float(bool(re.search(r"[a-z]{3}, $", left))), float(bool(re.search(r"[=#/({]\s*$", left)))]
     elif kind == "address":
-        row += [float(digits > 0), float(bool(re.match(r"flat|apt|unit|suite|room", plain))), float(bool(re.match(r"[,\s]*(?:\d{5}|[a-z]{2}\d ?\d[a-z]{2})", right))), float(right[:2] == ", " and right[2:3].isalpha()), float(sum(w[:1].isupper() or w[:1].isdigit() for w in span.split()) / max(1, len(span.split()))), float("old road" in plain or plain.startswith("the ")), float(any(w in SMALL_WORDS for w in plain.split()[1:] if form < 1))]
+        row += [float(digits > 0), float(bool(re.match(r"flat|apt|unit|suite|room", plain))), float(bool(re.match(r"[,\s]*(?:\d{5}|[a-z]{2}\d ?\d[a-z]{2})", right))), float(right[:2] == ", " and right[2:3].isalpha()), float(sum(w[:1].isupper() or w[:1].isdigit() for w in span.split()) / max(1, len(span.split()))), float("old road" in plain or plain.startswith("the ")), float(any(w in SMALL_WORDS for w in plain.split()[1:] if form < 1)), float(len(plain.split())), float(plain.split()[0] in SMALL_WORDS)]
     else:
-        words = re.findall(r"[^\W\d_]+(?:-[^\W\d_]+)?", span)
-        family = (words[0] if form in (1, 3) else words[-1]) if words else ""
+        words = re.findall(r"[^\W\d_]+(?:['-][^\W\d_]+)*", span)
+        turned = form in (1, 3, 8)
+        family = (words[0] if turned else words[-1]) if words else ""
+        given = (words[-1] if turned else words[0]) if words else ""
         title = re.search(r"(\w+)\W*$", left)
         small = family.lower()
         row += [float(family[:1].isupper()), float(family.isupper()), float(len(family)), float(any(p.endswith(_ENDINGS) for p in small.split("-"))), float(small.endswith(_GAME_ENDINGS)), float("-" in family), float(title is not None and title[1] in TITLES), float(words[0][:1].isupper() == family[:1].isupper()) if words else 0.0, float(span.islower()), float(bool(re.match(rf" (?:{_WAY_EN})\b", right))), float(re.match(r"\d|\w*\d", left[-3:].strip()) is not None), float(small in SMALL_WORDS or len(small) < 4), float(bool(re.search(r"[.!?] $|^$", left)))]
         # whether a word runs into it: an initial behind a given name is not the start
         row.append(float(left[-1:] == " " and left[-2:-1].isalpha()))
+        scores = [likeness(w.lower()) for w in words if len(w) > 1] or [0.0]
+        row += [likeness(given.lower()) if len(given) > 1 else 0.0, likeness(family.lower()), min(scores), sum(scores) / len(scores), float(given.lower() in _GIVEN_SET)]
+        row += [float(_CUE_AT_END.search(left) is not None), float(_DOES.match(right) is not None), float(len(words)), float(any(w.lower() in _TITLE_SET for w in words)), float(text[max(0, start - 12) : start].isupper() and span.isupper())]
     return row
 
 
+#: One for each kind, and "shape" for names proposed by their shape.
+Models = dict[str, BoostedTrees]
+#: In texts at large spans that only look like names are so many times as frequent as in the seed.
+_OTHER_NAMES = 12
+
+
+def _describe(folded: str, low: str) -> list[tuple[tuple[str, int, int, int], str, list[float]]]:
+    """Candidates, each with the name of its model and its features."""
+    proposed = candidates(folded, low)
+    around = _Around(proposed)
+    return [(c, "shape", shape_features(folded, low, around, *c[1:])) if c[3] >= 5 and c[0] == "name" else (c, c[0], features(folded, low, *c)) for c in proposed]
+
+
 @lru_cache(maxsize=1)
-def models(sentences: int = 6000) -> dict[str, BoostedTrees]:
-    """One trained and calibrated model per kind, from at most so many labelled sentences of the seed.
+def models(sentences: int = 6000, general: int = 6000) -> Models:
+    """Trained and calibrated models from at most so many labelled sentences of one seed and texts of the other.
 
-    Of every four sentences one is held out to calibrate. Deterministic: every process trains the same.
+    Of every four texts one is held out to calibrate. Deterministic.
     """
+    from quernel.llm.pii_general import labelled_general
     from quernel.llm.pii_seed import labelled
 
-    rows: dict[str, tuple[list, list, list]] = {k: ([], [], []) for k in KINDS}
-    for n, (text, spans) in enumerate(labelled(sentences)):
+    rows: dict[str, tuple[list, list, list]] = {k: ([], [], []) for k in (*KINDS, "shape")}
+    for n, (text, spans) in enumerate([*labelled(sentences), *labelled_general(general)]):
         folded, places = fold(text)
         low = lower(folded)
         true = {(k, s) for k, s in spans}
-        for kind, start, end, form in candidates(folded, low):
-            at = start if places is None else int(places[start])
-            x, y, held = rows[kind]
-            x.append(features(folded, low, kind, start, end, form))
-            y.append(float((kind, at) in true))
+        for (kind, start, _, _), model, row in _describe(folded, low):
+            x, y, held = rows[model]
+            x.append(row)
+            y.append(float((kind, start if places is None else int(places[start])) in true))
             held.append(n % 4 == 3)
     out = {}
     for kind, (x, y, held) in rows.items():
         a, b, h = np.array(x), np.array(y), np.array(held)
-        out[kind] = BoostedTrees().fit(a[~h], b[~h]).calibrate(a[h], b[h])
+        out[kind] = BoostedTrees(trees=80, depth=4 if kind in ("shape", "id_number") else 3).fit(a[~h], b[~h]).calibrate(a[h], b[h], _OTHER_NAMES if kind == "shape" else 1)
     return out
 
 
@@ -380,25 +559,24 @@ def lower(text: str) -> str:
     return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
 
 
-def find_spans(texts: list[str | None]) -> list[list[tuple[str, int, int]]]:
+def find_spans(texts: list[str | None], trained: Models | None = None) -> list[list[tuple[str, int, int]]]:
     """(kind, start, end) of the personal information of each text, in order; spans do not overlap."""
-    trained = models()
-    described: dict[str, tuple[list, list]] = {k: ([], []) for k in KINDS}
+    trained = trained or models()
+    described: dict[str, tuple[list, list]] = {k: ([], []) for k in trained}
     places: list[np.ndarray | None] = []
     for n, text in enumerate(texts):
         folded, place = fold(text) if text else ("", None)
         places.append(place)
-        low = lower(folded)
-        for c in candidates(folded, low):
-            owners, rows = described[c[0]]
+        for c, model, row in _describe(folded, lower(folded)):
+            owners, rows = described[model]
             owners.append((n, *c))
-            rows.append(features(folded, low, *c))
+            rows.append(row)
     kept: list[list[tuple[float, str, int, int]]] = [[] for _ in texts]
-    for kind, (owners, rows) in described.items():
+    for name, (owners, rows) in described.items():
         if not rows:
             continue
-        model = trained[kind]
-        for (n, _, start, end, _), p in zip(owners, model.probability(np.array(rows)).tolist(), strict=True):
+        model = trained[name]
+        for (n, kind, start, end, _), p in zip(owners, model.probability(np.array(rows)).tolist(), strict=True):
             if p >= model.cutoff:
                 kept[n].append((p, kind, start, end))
     out: list[list[tuple[str, int, int]]] = []
@@ -428,15 +606,16 @@ def find_personal(documents: DataFrame, key: str = "doc_id", text: str = "text")
     """key, pii_type, start_pos, end_pos (code points from 0) of every find.
 
     Null and empty texts have none; repeated rows are searched each by itself; rows with a null key are
-    kept. No shuffle: tasks search their own rows in Arrow batches with models each process trains once
-    from the same labelled sentences.
+    kept. No shuffle: tasks search their own rows in Arrow batches with models the driver has trained (some
+    ten thousand numbers).
     """
+    trained = documents.sparkSession.sparkContext.broadcast(models())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, _AT_ONCE):
                 part = batch.slice(at, _AT_ONCE)
-                keys, spans = part.column(0), find_spans(part.column(1).to_pylist())
+                keys, spans = part.column(0), find_spans(part.column(1).to_pylist(), trained.value)
                 owner = np.repeat(np.arange(len(spans)), [len(s) for s in spans])
                 flat = [s for row in spans for s in row]
                 yield pa.RecordBatch.from_arrays([keys.take(pa.array(owner)), pa.array([s[0] for s in flat], pa.string()), pa.array([s[1] for s in flat], pa.int32()), pa.array([s[2] for s in flat], pa.int32())], names=[key, "pii_type", "start_pos", "end_pos"])
@@ -447,11 +626,12 @@ def find_personal(documents: DataFrame, key: str = "doc_id", text: str = "text")
 
 def redact_documents(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key and text of every document, with typed placeholders for the finds; null texts stay null."""
+    trained = documents.sparkSession.sparkContext.broadcast(models())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            clean = [redact(t, s) for t, s in zip(texts, find_spans(texts), strict=True)]
+            clean = [redact(t, s) for t, s in zip(texts, find_spans(texts, trained.value), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(clean, pa.string())], names=[key, text])
 
     rows = documents.select(key, text)

@@ -166,3 +166,14 @@ def labelled(sentences: int, seed: int = 7) -> list[tuple[str, list[tuple[str, i
             text += part[at:]
         out.append((text, spans))
     return out
+
+
+def personal_words() -> list[str]:
+    """Family names as the sentences have them, of another seed."""
+    r = random.Random(5)
+    return [w for _ in range(150) for w in family(r).split("-")]
+
+
+def other_words() -> list[str]:
+    sentences = [w for t in [*_OTHERS, *(t for ts in _TEMPLATES.values() for t in ts)] for w in re.findall(r"(?<![<{\w])[^\W\d_a-z][^\W\d_]+", t)]
+    return sentences + _GAME_FIRST + _GAME_LAST + _GAME_TITLE + _TOWNS + [w for t in _THINGS for w in t.split()]

@@ -284,6 +284,31 @@ def test_personal_information_on_held_out_sentences():
     assert right / (right + wrong) > 0.97 and right / (right + missed) > 0.97
 
 
+def test_personal_information_in_other_words():
+    """Sentences written apart from the seeds: recall by kind, and what is found where nothing is."""
+    from collections import Counter
+
+    spec = importlib.util.spec_from_file_location("held_out", Path(__file__).parent / "held_out.py")
+    held_out = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(held_out)
+    cases = list(held_out.sentences())
+    found, wanted, wrong = Counter(), Counter(), 0
+    for (_, spans), got in zip(cases, find_spans([t for t, _ in cases]), strict=True):
+        here = {(k, s) for k, s, _ in got}
+        wanted.update(k for k, _ in spans)
+        found.update(k for k, s in spans if (k, s) in here)
+        wrong += len(here - set(spans))
+    recall = {k: found[k] / wanted[k] for k in wanted}
+    assert all(recall[k] >= 0.85 for k in ("email", "phone", "id_number", "address")) and recall["name"] >= 0.55, recall
+    assert wrong <= 2 and sum(map(len, find_spans(held_out.OTHERS))) == 0
+
+
+def test_shapes_of_names():
+    """Particles, hyphens, apostrophes, short and turned names are proposed whatever the words are."""
+    for text, name in {"met Jean-Pierre Dupont there": "Jean-Pierre Dupont", "met Maria de la Cruz there": "Maria de la Cruz", "met Shaun O'Brien there": "Shaun O'Brien", "met Anna Ng there": "Anna Ng", "met Karim van der Berg there": "Karim van der Berg", "list: Rossi, Marco Antonio": "Rossi, Marco Antonio"}.items():
+        assert name in {text[a:b] for k, a, b, _ in candidates(text, text.lower()) if k == "name"}, text
+
+
 def test_personal_places_and_placeholders(spark):
     text = "Schöne​ Grüße\nBärbel Tesselström\nMail <ba.te@moorpost.example> or (+44 20 7946 0805). Captain Velzul Thornwick hits for 8867471937 damage at (41, 79)."
     [spans] = find_spans([text])
