@@ -7,16 +7,16 @@ trust, among those that respect the given functional dependencies, is found by b
 
 from __future__ import annotations
 
+import json
 import unicodedata
-from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quernel.functions.canonical import canonical_json
+from quernel.functions.canonical import plain_number
 
 #: States under which a value cannot be used.
 UNUSABLE = ("missing", "unsupported", "unavailable", "invalid", "conflicting")
@@ -27,25 +27,47 @@ Bundles = dict[str, list[str]]
 _STEP = 1 << 60
 
 
-@F.pandas_udf(T.StringType())
-def _composed(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: unicodedata.normalize("NFC", t), na_action="ignore")
-
-
-def value_key(value: Column) -> Column:
+def value_key(text: str) -> str:
     """Text that is equal for equal values: canonical JSON, texts composed, lists of ids or objects as sets.
 
-    Only texts beyond ASCII and numbers with exponents cross into Python.
+    Numbers are exact whatever their size; a text that is no JSON stands for itself.
     """
-    plain = canonical_json(value)
-    wide = plain.rlike(r"[^\x00-\x7F]")
-    plain = F.when(wide, _composed(F.when(wide, plain))).otherwise(plain)
-    elements = F.array_sort(F.array_distinct(F.from_json(plain, "array<string>")))
-    return F.when(plain.rlike(r"^\[[-0-9{]"), F.concat(F.lit("["), F.concat_ws(",", elements), F.lit("]"))).otherwise(plain)
+    try:
+        value = json.loads(text, parse_int=_number, parse_float=_number, parse_constant=_refuse)
+    except (ValueError, RecursionError):
+        return unicodedata.normalize("NFC", text)
+    if isinstance(value, list) and value and isinstance(value[0], (tuple, dict)):
+        return "[" + ",".join(sorted({_written(v) for v in value})) + "]"
+    return _written(value)
+
+
+def _number(digits: str) -> tuple[str]:
+    return (plain_number(digits),)
+
+
+def _refuse(word: str) -> None:
+    raise ValueError(word)
+
+
+def _written(value: object) -> str:
+    if isinstance(value, tuple):
+        return value[0]
+    if isinstance(value, str):
+        return json.dumps(unicodedata.normalize("NFC", value), ensure_ascii=False)
+    if isinstance(value, dict):
+        return "{" + ",".join(f"{_written(k)}:{_written(value[k])}" for k in sorted(value)) + "}"
+    if isinstance(value, list):
+        return "[" + ",".join(map(_written, value)) + "]"
+    return json.dumps(value)
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _keys(values: pd.Series) -> pd.Series:
+    return values.map(lambda texts: [value_key(t) for t in texts], na_action="ignore")
 
 
 def usable_values(records: DataFrame) -> DataFrame:
-    """entity_type, entity_id, source, generated_at, field, value, key of the usable values of each source's latest record.
+    """entity_type, entity_id, source, generated_at, field, value of the usable values of each source's latest record.
 
     The latest record has the greatest generated_at (null is oldest), then delivered_at, then row_id; unless
     it is present it has no values. A value is usable unless it is SQL or JSON null, an empty text or list,
@@ -58,8 +80,8 @@ def usable_values(records: DataFrame) -> DataFrame:
     latest = kept.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1 AND record_status = 'present'")
     long = latest.select(*names, "generated_at", "field_states", F.explode("attributes").alias("field", "value"))
     state = F.coalesce(F.col("field_states")[F.col("field")], F.lit(""))
-    long = long.filter(F.col("value").isNotNull() & ~state.isin(*UNUSABLE)).select(*names, "generated_at", "field", "value", value_key(F.col("value")).alias("key"))
-    return long.filter(~F.col("key").isin("null", '""', "[]", ""))
+    held = F.col("value").isNotNull() & ~F.col("value").rlike(r'^\s*(?:null|""|\[\s*\])?\s*$') & ~state.isin(*UNUSABLE)
+    return long.filter(held).select(*names, "generated_at", "field", "value")
 
 
 def choose_sources(values: list[tuple[str, str, str, int | None]], bundles: Bundles, dependencies: list[tuple[str, str]], order: list[str] | None = None) -> list[tuple[str, str]]:
@@ -149,7 +171,7 @@ def choose_sources(values: list[tuple[str, str, str, int | None]], bundles: Bund
     return [x for (fields, _), sources in zip(options, best[1], strict=False) if sources is not None for x in taken(fields, sources).items()]
 
 
-_CHOICE = T.ArrayType(T.StructType([T.StructField("field", T.StringType()), T.StructField("source", T.StringType())]))
+_CHOICE = T.MapType(T.StringType(), T.StringType())
 
 
 def fuse_records(records: DataFrame, policy: DataFrame, bundles: Bundles | None = None, dependencies: list[tuple[str, str]] | None = None, unlisted: bool = False) -> DataFrame:
@@ -160,31 +182,55 @@ def fuse_records(records: DataFrame, policy: DataFrame, bundles: Bundles | None
     bounds what is brought together for the search. Fields that no listed source has are left out, unless
     unlisted: then sources that are not listed for a field come after all listed ones, the latest generated_at
     first (null is oldest), then the most usable fields, then the name.
+
+    The search is for what can conflict: fields of bundles and dependencies, and fields with several values.
+    A field of its own with one value takes its best source at once, as any search would.
     """
     bundles, dependencies = bundles or {}, dependencies or []
+    bound = sorted({f for d in dependencies for f in d} | {f for fields in bundles.values() for f in fields})
     entity = ["entity_type", "entity_id"]
-    ranks = policy.dropna(subset=["entity_type", "field", "source", "priority"]).groupBy("entity_type", "field", "source").agg(F.min("priority").alias("priority"))
+    ranks = policy.dropna(subset=["entity_type", "field", "source", "priority"]).filter("priority > 0").groupBy("entity_type", "field", "source").agg(F.min("priority").alias("priority"))
     values = usable_values(records).join(ranks, ["entity_type", "field", "source"], "left")
-    age = [F.unix_micros(F.col("generated_at").cast("timestamp")).alias("at")] if unlisted else []
-    grouped = values.groupBy(*entity).agg(F.collect_list(F.struct("field", "source", "key", "priority", "value", *age)).alias("held"))
+    # one partitioning for both groupings; texts are compared before any is parsed
+    item = F.struct("source", "value", "priority", F.unix_micros(F.col("generated_at").cast("timestamp")).alias("at"))
+    fields = values.repartition(*entity).groupBy(*entity, "field").agg(F.collect_list(item).alias("held"), (F.min("value") != F.max("value")).alias("several"))
+    keyed = fields.withColumn("keys", _keys(F.when(F.col("several"), F.transform("held", lambda h: h["value"]))))
+    n_values = F.coalesce(F.size(F.array_distinct("keys")), F.lit(1))
+    keyed = keyed.withColumn("n_values", F.when(F.col("several"), n_values).otherwise(1))
+    whole = keyed.groupBy(*entity).agg(F.collect_list(F.struct("field", "held", "keys", "n_values")).alias("fields"))
+    if unlisted:
+        # sources of the entity, best first
+        seen = F.flatten(F.transform("fields", lambda f: F.transform(f["held"], lambda h: F.struct(h["source"].alias("source"), h["at"].alias("at")))))
+        count = lambda s: F.size(F.filter("_seen", lambda x: x["source"] == s["source"]))
+        best = F.transform(F.array_distinct("_seen"), lambda s: F.struct((-F.coalesce(s["at"], F.lit(-(1 << 62)))).alias("at"), (-count(s)).alias("n"), s["source"].alias("source")))
+        whole = whole.withColumn("_seen", seen).withColumn("sources", F.transform(F.array_sort(best), lambda s: s["source"])).drop("_seen")
+    else:
+        whole = whole.withColumn("sources", F.lit(None).cast("array<string>"))
 
     @F.pandas_udf(_CHOICE)
-    def choose(held: pd.Series) -> pd.Series:
-        def one(rows: list[dict]) -> list[dict]:
-            wanted = [(r["field"], r["source"], r["key"], None if pd.isna(r["priority"]) else int(r["priority"])) for r in rows]
-            order = None
-            if unlisted:
-                fields = Counter(r["source"] for r in rows)
-                at = {r["source"]: float("-inf") if pd.isna(r["at"]) else r["at"] for r in rows}
-                order = sorted(fields, key=lambda s: (-at[s], -fields[s], s))
-            return [{"field": f, "source": s} for f, s in choose_sources(wanted, bundles, dependencies, order)]
-
-        return held.map(one)
-
-    chosen = grouped.select(*entity, "held", F.explode(choose(F.transform("held", lambda h: h.dropFields("value")))).alias("_c"))
-    own = F.filter("held", lambda h: h["field"] == F.col("_c.field"))
-    value = F.filter(own, lambda h: h["source"] == F.col("_c.source"))[0]["value"]
-    return chosen.select(*entity, "_c.field", "_c.source", value.alias("value"), F.size(F.array_distinct(F.transform(own, lambda h: h["key"]))).alias("n_values"))
+    def choose(fields: pd.Series, sources: pd.Series) -> pd.Series:
+        def one(fields: list[dict] | None, sources: list[str] | None) -> dict[str, str] | None:
+            if fields is None:
+                return None
+            # without keys all texts are the same
+            wanted = [(f["field"], h["source"], "" if f["keys"] is None else f["keys"][n], None if pd.isna(h["priority"]) else int(h["priority"])) for f in fields for n, h in enumerate(f["held"])]
+            return dict(choose_sources(wanted, bundles, dependencies, None if sources is None else list(sources)))
+
+        return pd.Series([one(f, s) for f, s in zip(fields, sources, strict=True)], dtype=object)
+
+    open_ = F.filter("fields", lambda f: (f["n_values"] > 1) | f["field"].isin(*bound))
+    # what is searched crosses without the values
+    lean = F.transform(open_, lambda f: f.withField("held", F.transform(f["held"], lambda h: h.dropFields("value", "at"))))
+    some = F.size(open_) > 0
+    picked = whole.withColumn("picked", choose(F.when(some, lean), F.when(some, F.col("sources"))))
+    each = picked.select(*entity, "sources", "picked", F.explode("fields").alias("_f")).select(*entity, "sources", "picked", "_f.*")
+    rank = lambda h: F.when(h["priority"].isNotNull(), F.lit(0).cast("bigint")).otherwise(F.array_position("sources", h["source"]))
+    allowed = F.col("held") if unlisted else F.filter("held", lambda h: h["priority"].isNotNull())
+    first = F.array_min(F.transform(allowed, lambda h: F.struct(h["priority"].isNull(), F.coalesce(h["priority"], F.lit(0)), rank(h), h["source"].alias("source"))))["source"]
+    searched = (F.col("n_values") > 1) | F.col("field").isin(*bound)
+    chosen = each.withColumn("source", F.when(searched, F.col("picked")[F.col("field")]).otherwise(first)).filter("source IS NOT NULL")
+    value = F.filter("held", lambda h: h["source"] == F.col("source"))[0]["value"]
+    return chosen.select(*entity, "field", "source", value.alias("value"), "n_values")
 
 
 def surviving_records(fused: DataFrame) -> DataFrame:

@@ -48,5 +48,22 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (p2_found, p2_survivors, p8_ids, p9_found, p10_found, p10_redacted)}
 
 
+_ORDER = "(generated_at, delivered_at, row_id)"
+_LEAF = "CASE WHEN j.type IN ('UBIGINT', 'BIGINT', 'DOUBLE') THEN 'NUMBER' ELSE j.type END || CASE WHEN j.type IN ('UBIGINT', 'BIGINT', 'DOUBLE') THEN CAST(CAST(j.atom AS DOUBLE) AS VARCHAR) WHEN j.type IN ('VARCHAR', 'BOOLEAN') THEN nfc_normalize(j.atom ->> '$') ELSE '' END"
+
+SQL = {
+    "p2_found": rf"""
+WITH latest AS (SELECT entity_type, entity_id, source, unnest(arg_max({{'st': record_status, 'a': attributes, 's': field_states}}, {_ORDER})) FROM source_records WHERE entity_type IS NOT NULL AND entity_id IS NOT NULL AND source IS NOT NULL GROUP BY ALL),
+cells AS (SELECT entity_type, entity_id, source, s, unnest(map_entries(a)) AS e FROM latest WHERE st = 'present'),
+held AS (SELECT entity_type, entity_id, source, e.key AS field, e.value AS v FROM cells WHERE e.value IS NOT NULL AND NOT regexp_full_match(e.value, '\s*(null|""|\[\s*\])?\s*') AND coalesce(s[e.key], '') NOT IN ('missing', 'unsupported', 'unavailable', 'invalid', 'conflicting')),
+parsed AS (SELECT v, CAST(v AS JSON) AS j, json_type(CAST(v AS JSON)) = 'ARRAY' AND json_type(CAST(v AS JSON), '$[0]') NOT IN ('VARCHAR', 'ARRAY', 'BOOLEAN', 'NULL') AS is_set FROM (SELECT DISTINCT v FROM held)),
+parts AS (SELECT v, is_set, unnest(CASE WHEN is_set THEN CAST(j AS JSON[]) ELSE [j] END) AS x FROM parsed),
+texts AS (SELECT v, is_set, x, string_agg(j.fullkey || '=' || {_LEAF}, ';' ORDER BY j.fullkey) AS c FROM (SELECT DISTINCT v, is_set, x FROM parts) p, json_tree(p.x) j GROUP BY ALL),
+keys AS (SELECT v, is_set || ':' || string_agg(DISTINCT c, '|' ORDER BY c) AS k FROM texts GROUP BY v, is_set),
+fields AS (SELECT entity_type, entity_id, field, count(DISTINCT k) AS n, arg_min(source, priority) AS source FROM held JOIN keys USING (v) LEFT JOIN field_policy USING (entity_type, field, source) GROUP BY ALL)
+SELECT entity_type, entity_id, field, source FROM fields WHERE n > 1 AND source IS NOT NULL""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return SQL
