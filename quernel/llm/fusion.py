@@ -78,10 +78,12 @@ def usable_values(records: DataFrame) -> DataFrame:
     order = Window.partitionBy(*names).orderBy(F.col("generated_at").desc_nulls_last(), F.col("delivered_at").desc_nulls_last(), F.col("row_id").desc_nulls_last())
     kept = records.select(*names, "generated_at", "delivered_at", "row_id", "record_status", "attributes", "field_states").dropna(subset=names)
     latest = kept.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1 AND record_status = 'present'")
-    long = latest.select(*names, "generated_at", "field_states", F.explode("attributes").alias("field", "value"))
-    state = F.coalesce(F.col("field_states")[F.col("field")], F.lit(""))
-    held = F.col("value").isNotNull() & ~F.col("value").rlike(r'^\s*(?:null|""|\[\s*\])?\s*$') & ~state.isin(*UNUSABLE)
-    return long.filter(held).select(*names, "generated_at", "field", "value")
+    states = F.coalesce("field_states", F.create_map().cast("map<string,string>"))
+    usable = lambda e: e["value"].isNotNull() & ~e["value"].rlike(r'^\s*(?:null|""|\[\s*\])?\s*$') & ~F.coalesce(states[e["key"]], F.lit("")).isin(*UNUSABLE)
+    cells = latest.select(*names, "generated_at", F.filter(F.map_entries("attributes"), usable).alias("_cells"))
+    # records meet by entity while they are whole; taken apart they would be several times as large
+    met = cells.filter(F.size("_cells") > 0).repartition("entity_type", "entity_id").select(*names, "generated_at", F.explode("_cells").alias("_c"))
+    return met.select(*names, "generated_at", F.col("_c.key").alias("field"), F.col("_c.value").alias("value"))
 
 
 def choose_sources(values: list[tuple[str, str, str, int | None]], bundles: Bundles, dependencies: list[tuple[str, str]], order: list[str] | None = None) -> list[tuple[str, str]]:
@@ -191,9 +193,9 @@ def fuse_records(records: DataFrame, policy: DataFrame, bundles: Bundles | None
     entity = ["entity_type", "entity_id"]
     ranks = policy.dropna(subset=["entity_type", "field", "source", "priority"]).filter("priority > 0").groupBy("entity_type", "field", "source").agg(F.min("priority").alias("priority"))
     values = usable_values(records).join(ranks, ["entity_type", "field", "source"], "left")
-    # one partitioning for both groupings; texts are compared before any is parsed
+    # the values are together by entity already; texts are compared before any is parsed
     item = F.struct("source", "value", "priority", F.unix_micros(F.col("generated_at").cast("timestamp")).alias("at"))
-    fields = values.repartition(*entity).groupBy(*entity, "field").agg(F.collect_list(item).alias("held"), (F.min("value") != F.max("value")).alias("several"))
+    fields = values.groupBy(*entity, "field").agg(F.collect_list(item).alias("held"), (F.min("value") != F.max("value")).alias("several"))
     keyed = fields.withColumn("keys", _keys(F.when(F.col("several"), F.transform("held", lambda h: h["value"]))))
     n_values = F.coalesce(F.size(F.array_distinct("keys")), F.lit(1))
     keyed = keyed.withColumn("n_values", F.when(F.col("several"), n_values).otherwise(1))

@@ -53,8 +53,8 @@ _LEAF = "CASE WHEN j.type IN ('UBIGINT', 'BIGINT', 'DOUBLE') THEN 'NUMBER' ELSE
 
 SQL = {
     "p2_found": rf"""
-WITH latest AS (SELECT entity_type, entity_id, source, unnest(arg_max({{'st': record_status, 'a': attributes, 's': field_states}}, {_ORDER})) FROM source_records WHERE entity_type IS NOT NULL AND entity_id IS NOT NULL AND source IS NOT NULL GROUP BY ALL),
-cells AS (SELECT entity_type, entity_id, source, s, unnest(map_entries(a)) AS e FROM latest WHERE st = 'present'),
+WITH latest AS (SELECT entity_type, entity_id, source, arg_max({{'st': record_status, 'a': attributes, 's': field_states}}, {_ORDER}) AS r FROM source_records WHERE entity_type IS NOT NULL AND entity_id IS NOT NULL AND source IS NOT NULL GROUP BY entity_type, entity_id, source),
+cells AS (SELECT entity_type, entity_id, source, r.s AS s, unnest(map_entries(r.a)) AS e FROM latest WHERE r.st = 'present'),
 held AS (SELECT entity_type, entity_id, source, e.key AS field, e.value AS v FROM cells WHERE e.value IS NOT NULL AND NOT regexp_full_match(e.value, '\s*(null|""|\[\s*\])?\s*') AND coalesce(s[e.key], '') NOT IN ('missing', 'unsupported', 'unavailable', 'invalid', 'conflicting')),
 parsed AS (SELECT v, CAST(v AS JSON) AS j, json_type(CAST(v AS JSON)) = 'ARRAY' AND json_type(CAST(v AS JSON), '$[0]') NOT IN ('VARCHAR', 'ARRAY', 'BOOLEAN', 'NULL') AS is_set FROM (SELECT DISTINCT v FROM held)),
 parts AS (SELECT v, is_set, unnest(CASE WHEN is_set THEN CAST(j AS JSON[]) ELSE [j] END) AS x FROM parsed),
