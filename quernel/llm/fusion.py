@@ -61,11 +61,6 @@ def _written(value: object) -> str:
     return json.dumps(value)
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _keys(values: pd.Series) -> pd.Series:
-    return values.map(lambda texts: [value_key(t) for t in texts], na_action="ignore")
-
-
 def usable_values(records: DataFrame) -> DataFrame:
     """entity_type, entity_id, source, generated_at, field, value of the usable values of each source's latest record.
 
@@ -173,7 +168,7 @@ def choose_sources(values: list[tuple[str, str, str, int | None]], bundles: Bund
     return [x for (fields, _), sources in zip(options, best[1], strict=False) if sources is not None for x in taken(fields, sources).items()]
 
 
-_CHOICE = T.MapType(T.StringType(), T.StringType())
+_CHOICE = T.ArrayType(T.StructType([T.StructField("field", T.StringType()), T.StructField("source", T.StringType()), T.StructField("n_values", T.IntegerType())]))
 
 
 def fuse_records(records: DataFrame, policy: DataFrame, bundles: Bundles | None = None, dependencies: list[tuple[str, str]] | None = None, unlisted: bool = False) -> DataFrame:
@@ -196,10 +191,7 @@ def fuse_records(records: DataFrame, policy: DataFrame, bundles: Bundles | None
     # the values are together by entity already; texts are compared before any is parsed
     item = F.struct("source", "value", "priority", F.unix_micros(F.col("generated_at").cast("timestamp")).alias("at"))
     fields = values.groupBy(*entity, "field").agg(F.collect_list(item).alias("held"), (F.min("value") != F.max("value")).alias("several"))
-    keyed = fields.withColumn("keys", _keys(F.when(F.col("several"), F.transform("held", lambda h: h["value"]))))
-    n_values = F.coalesce(F.size(F.array_distinct("keys")), F.lit(1))
-    keyed = keyed.withColumn("n_values", F.when(F.col("several"), n_values).otherwise(1))
-    whole = keyed.groupBy(*entity).agg(F.collect_list(F.struct("field", "held", "keys", "n_values")).alias("fields"))
+    whole = fields.groupBy(*entity).agg(F.collect_list(F.struct("field", "held", "several")).alias("fields"))
     if unlisted:
         # sources of the entity, best first
         seen = F.flatten(F.transform("fields", lambda f: F.transform(f["held"], lambda h: F.struct(h["source"].alias("source"), h["at"].alias("at")))))
@@ -211,26 +203,27 @@ def fuse_records(records: DataFrame, policy: DataFrame, bundles: Bundles | None
 
     @F.pandas_udf(_CHOICE)
     def choose(fields: pd.Series, sources: pd.Series) -> pd.Series:
-        def one(fields: list[dict] | None, sources: list[str] | None) -> dict[str, str] | None:
+        def one(fields: list[dict] | None, sources: list[str] | None) -> list[dict] | None:
             if fields is None:
                 return None
-            # without keys all texts are the same
-            wanted = [(f["field"], h["source"], "" if f["keys"] is None else f["keys"][n], None if pd.isna(h["priority"]) else int(h["priority"])) for f in fields for n, h in enumerate(f["held"])]
-            return dict(choose_sources(wanted, bundles, dependencies, None if sources is None else list(sources)))
+            # where all texts are the same none was sent
+            keys = {f["field"]: [value_key(h["value"]) if f["several"] else "" for h in f["held"]] for f in fields}
+            wanted = [(f["field"], h["source"], k, None if pd.isna(h["priority"]) else int(h["priority"])) for f in fields for h, k in zip(f["held"], keys[f["field"]], strict=True)]
+            chosen = dict(choose_sources(wanted, bundles, dependencies, None if sources is None else list(sources)))
+            return [{"field": f, "source": chosen.get(f), "n_values": len(set(k))} for f, k in keys.items()]
 
         return pd.Series([one(f, s) for f, s in zip(fields, sources, strict=True)], dtype=object)
 
-    open_ = F.filter("fields", lambda f: (f["n_values"] > 1) | f["field"].isin(*bound))
-    # what is searched crosses without the values
-    lean = F.transform(open_, lambda f: f.withField("held", F.transform(f["held"], lambda h: h.dropFields("value", "at"))))
-    some = F.size(open_) > 0
+    open_ = lambda f: f["several"] | f["field"].isin(*bound)
+    sent = F.filter("fields", open_)
+    lean = F.transform(sent, lambda f: f.withField("held", F.transform(f["held"], lambda h: F.struct(h["source"].alias("source"), h["priority"].alias("priority"), F.when(f["several"], h["value"]).alias("value")))))
+    some = F.size(sent) > 0
     picked = whole.withColumn("picked", choose(F.when(some, lean), F.when(some, F.col("sources"))))
-    each = picked.select(*entity, "sources", "picked", F.explode("fields").alias("_f")).select(*entity, "sources", "picked", "_f.*")
+    each = picked.select(*entity, "sources", "picked", F.explode("fields").alias("_f")).select(*entity, "sources", "_f.*", F.try_element_at(F.filter("picked", lambda p: p["field"] == F.col("_f.field")), F.lit(1)).alias("pick"))
     rank = lambda h: F.when(h["priority"].isNotNull(), F.lit(0).cast("bigint")).otherwise(F.array_position("sources", h["source"]))
     allowed = F.col("held") if unlisted else F.filter("held", lambda h: h["priority"].isNotNull())
     first = F.array_min(F.transform(allowed, lambda h: F.struct(h["priority"].isNull(), F.coalesce(h["priority"], F.lit(0)), rank(h), h["source"].alias("source"))))["source"]
-    searched = (F.col("n_values") > 1) | F.col("field").isin(*bound)
-    chosen = each.withColumn("source", F.when(searched, F.col("picked")[F.col("field")]).otherwise(first)).filter("source IS NOT NULL")
+    chosen = each.select(*entity, "field", "held", F.when(F.col("pick").isNotNull(), F.col("pick.source")).otherwise(first).alias("source"), F.coalesce("pick.n_values", F.lit(1)).alias("n_values")).filter("source IS NOT NULL")
     value = F.filter("held", lambda h: h["source"] == F.col("source"))[0]["value"]
     return chosen.select(*entity, "field", "source", value.alias("value"), "n_values")
 
