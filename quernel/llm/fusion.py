@@ -168,7 +168,7 @@ def choose_sources(values: list[tuple[str, str, str, int | None]], bundles: Bund
     return [x for (fields, _), sources in zip(options, best[1], strict=False) if sources is not None for x in taken(fields, sources).items()]
 
 
-_CHOICE = T.ArrayType(T.StructType([T.StructField("field", T.StringType()), T.StructField("source", T.StringType()), T.StructField("n_values", T.IntegerType())]))
+_CHOICE = T.MapType(T.StringType(), T.StructType([T.StructField("source", T.StringType()), T.StructField("n_values", T.IntegerType())]))
 
 
 def fuse_records(records: DataFrame, policy: DataFrame, bundles: Bundles | None = None, dependencies: list[tuple[str, str]] | None = None, unlisted: bool = False) -> DataFrame:
@@ -203,23 +203,23 @@ def fuse_records(records: DataFrame, policy: DataFrame, bundles: Bundles | None
 
     @F.pandas_udf(_CHOICE)
     def choose(fields: pd.Series, sources: pd.Series) -> pd.Series:
-        def one(fields: list[dict] | None, sources: list[str] | None) -> list[dict] | None:
+        def one(fields: list[dict] | None, sources: list[str] | None) -> dict[str, dict] | None:
             if fields is None:
                 return None
-            # where all texts are the same none was sent
+            # where all texts are the same they need no parsing
             keys = {f["field"]: [value_key(h["value"]) if f["several"] else "" for h in f["held"]] for f in fields}
             wanted = [(f["field"], h["source"], k, None if pd.isna(h["priority"]) else int(h["priority"])) for f in fields for h, k in zip(f["held"], keys[f["field"]], strict=True)]
             chosen = dict(choose_sources(wanted, bundles, dependencies, None if sources is None else list(sources)))
-            return [{"field": f, "source": chosen.get(f), "n_values": len(set(k))} for f, k in keys.items()]
+            return {f: {"source": chosen.get(f), "n_values": len(set(k))} for f, k in keys.items()}
 
         return pd.Series([one(f, s) for f, s in zip(fields, sources, strict=True)], dtype=object)
 
     open_ = lambda f: f["several"] | f["field"].isin(*bound)
     sent = F.filter("fields", open_)
-    lean = F.transform(sent, lambda f: f.withField("held", F.transform(f["held"], lambda h: F.struct(h["source"].alias("source"), h["priority"].alias("priority"), F.when(f["several"], h["value"]).alias("value")))))
+    lean = F.transform(sent, lambda f: f.withField("held", F.transform(f["held"], lambda h: h.dropFields("at"))))
     some = F.size(sent) > 0
     picked = whole.withColumn("picked", choose(F.when(some, lean), F.when(some, F.col("sources"))))
-    each = picked.select(*entity, "sources", "picked", F.explode("fields").alias("_f")).select(*entity, "sources", "_f.*", F.try_element_at(F.filter("picked", lambda p: p["field"] == F.col("_f.field")), F.lit(1)).alias("pick"))
+    each = picked.select(*entity, "sources", "picked", F.explode("fields").alias("_f")).select(*entity, "sources", "_f.*", F.col("picked")[F.col("_f.field")].alias("pick"))
     rank = lambda h: F.when(h["priority"].isNotNull(), F.lit(0).cast("bigint")).otherwise(F.array_position("sources", h["source"]))
     allowed = F.col("held") if unlisted else F.filter("held", lambda h: h["priority"].isNotNull())
     first = F.array_min(F.transform(allowed, lambda h: F.struct(h["priority"].isNull(), F.coalesce(h["priority"], F.lit(0)), rank(h), h["source"].alias("source"))))["source"]
