@@ -22,6 +22,19 @@ def compare_keys(left: DataFrame, right: DataFrame, keys: list[str], same: Colum
     return joined.select(*[F.when(F.col("_left"), F.col(f"_l{k}")).otherwise(F.col(f"_r{k}")).alias(k) for k in keys], status.alias("status"))
 
 
+def compare_sources(rows: DataFrame, source: str, keys: list[str]) -> DataFrame:
+    """source, keys and status of every key for every source: leftOnly (no other source has it), rightOnly (others have, this has not), equal.
+
+    Repeats combine before the shuffle, and a key's sources are bounded by the number of sources. Rows without a
+    source are left out; null keys are equal to each other.
+    """
+    known = rows.filter(F.col(source).isNotNull())
+    every = known.select(F.col(source).alias("_s")).agg(F.collect_set("_s")).scalar()
+    held = known.groupBy(*keys).agg(F.collect_set(source).alias("_have")).withColumn("_every", every)
+    status = F.when(~F.array_contains("_have", F.col(source)), "rightOnly").when(F.size("_have") > 1, "equal").otherwise("leftOnly")
+    return held.select(*keys, "_have", F.explode("_every").alias(source)).select(source, *keys, status.alias("status"))
+
+
 def within(left: Column, right: Column, tolerance: float) -> Column:
     """Whether two numbers lie within the tolerance; null is equal to null only."""
     return F.when(left.isNull() | right.isNull(), left.isNull() & right.isNull()).otherwise(F.abs(left - right) <= tolerance)

@@ -50,21 +50,19 @@ def dangling_edges(spark: SparkSession, sf: str) -> DataFrame:
     return found.groupBy("kind").agg(F.count("*").alias("n_dangling"))
 
 
-_EDGE_SIDES = "WITH s AS (SELECT min(source) AS lo, max(source) AS hi FROM relationships), c AS (SELECT from_id, to_id, bool_or(source = lo) AS l, bool_or(source = hi) AS r FROM relationships, s WHERE source IN (lo, hi) GROUP BY from_id, to_id)"
+_EDGE_SIDES = """WITH k AS (SELECT from_type, from_id, kind, to_type, to_id, list(DISTINCT source) AS have FROM relationships WHERE source IS NOT NULL GROUP BY ALL), s AS (SELECT DISTINCT source FROM relationships WHERE source IS NOT NULL),
+    c AS (SELECT s.source, k.*, CASE WHEN NOT list_contains(have, s.source) THEN 'rightOnly' WHEN len(have) > 1 THEN 'equal' ELSE 'leftOnly' END AS status FROM k, s)"""
 
 
-@query(f"{_EDGE_SIDES} SELECT from_id, to_id, CASE WHEN NOT r THEN 'leftOnly' WHEN NOT l THEN 'rightOnly' ELSE 'equal' END AS status FROM c")
+@query(f"{_EDGE_SIDES} SELECT source, from_type, from_id, kind, to_type, to_id, status FROM c")
 def compare_edges(spark: SparkSession, sf: str) -> DataFrame:
-    """Edges of the first source in order of name against those of the last one."""
-    edges = table(spark, sf, "relationships")
-    first, last = edges.agg(F.min("source"), F.max("source")).first()
-    side = lambda s: edges.filter(F.col("source") == s).select("from_id", "to_id").distinct()
-    return joins.compare_keys(side(first), side(last), ["from_id", "to_id"])
+    """Edges of every source against those of all others."""
+    return joins.compare_sources(table(spark, sf, "relationships"), "source", ["from_type", "from_id", "kind", "to_type", "to_id"])
 
 
-@query(f"{_EDGE_SIDES} SELECT CASE WHEN NOT r THEN 'leftOnly' WHEN NOT l THEN 'rightOnly' ELSE 'equal' END AS status, count(*) AS n FROM c GROUP BY 1")
+@query(f"{_EDGE_SIDES} SELECT source, status, count(*) AS n FROM c GROUP BY ALL")
 def compare_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return compare_edges(spark, sf).groupBy("status").agg(F.count("*").alias("n"))
+    return compare_edges(spark, sf).groupBy("source", "status").agg(F.count("*").alias("n"))
 
 
 @query("""WITH a AS (SELECT c_nationkey AS k, sum(CAST(round(c_acctbal * 100) AS BIGINT)) // count(*) AS v FROM customer GROUP BY 1), b AS (SELECT s_nationkey AS k, sum(CAST(round(s_acctbal * 100) AS BIGINT)) // count(*) AS v FROM supplier GROUP BY 1)

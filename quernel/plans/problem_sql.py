@@ -22,6 +22,19 @@ moments AS (SELECT DISTINCT t, i, made FROM told),
 known AS (SELECT m.t, m.i, m.made, s.source, arg_max(s.has, s.made) AS has FROM moments m JOIN told s ON s.t = m.t AND s.i = m.i AND s.made <= m.made GROUP BY ALL),
 timeline AS (SELECT t, i, made, bool_or(has) AS present FROM known GROUP BY ALL)"""
 
+#: Steps up from every node, and the last step of those that come to an end.
+_WALK = """WITH RECURSIVE up AS (SELECT child_type AS t, child_id AS i, arg_max(parent_type, observed_at) AS pt, arg_max(parent_id, observed_at) AS pi FROM containments WHERE parent_id IS NOT NULL GROUP BY ALL),
+n AS (SELECT count(*) AS n FROM up),
+walk AS (SELECT t, i, pt, pi, 1 AS d FROM up UNION ALL SELECT w.t, w.i, u.pt, u.pi, d + 1 FROM walk w JOIN up u ON u.t = w.pt AND u.i = w.pi, n WHERE d <= n.n),
+ends AS (SELECT w.t, w.i, w.pt, w.pi, w.d FROM walk w LEFT JOIN up u ON u.t = w.pt AND u.i = w.pi WHERE u.t IS NULL)"""
+#: Complete documents of raw files, in order: a text is one, an array of them, or one a line.
+_DOCUMENTS = """WITH texts AS (SELECT file_id, replace(replace(file_text, chr(65279), ''), chr(13), '') AS t FROM raw_files WHERE length(trim(file_text)) > 0),
+whole AS (SELECT file_id, CAST(t AS JSON) AS j FROM texts WHERE json_valid(t)),
+listed AS (SELECT file_id, CASE WHEN json_type(j) = 'ARRAY' THEN CAST(j AS JSON[]) ELSE [j] END AS ds FROM whole),
+lines AS (SELECT file_id, unnest(string_split(t, chr(10))) AS x, unnest(range(len(string_split(t, chr(10))))) AS pos FROM texts WHERE NOT json_valid(t)),
+parts AS (SELECT file_id, unnest(ds) AS d, unnest(range(len(ds))) AS pos FROM listed UNION ALL SELECT file_id, CAST(rtrim(ltrim(x, '['), ',]') AS JSON), pos FROM lines WHERE json_valid(rtrim(ltrim(x, '['), ',]')) AND ltrim(x, '[') LIKE '{%'),
+documents AS (SELECT * FROM parts WHERE d ->> '$.questId' IS NOT NULL OR (d ->> '$.kind' = 'object' AND d ->> '$.id' IS NOT NULL))"""
+
 
 def _latest(side: str) -> str:
     return f"{side}_side AS (SELECT coalesce(flavor, '') AS f, coalesce(entity_type, '') AS t, coalesce(entity_id, '') AS i, arg_max(attributes, (loaded_at, md5(attributes))) AS a, arg_max(field_states, (loaded_at, md5(attributes))) AS s FROM dataset_{side} GROUP BY ALL)"
@@ -73,12 +86,22 @@ pairs AS (SELECT a.source, a.n, b.n AS m, b.source_revision FROM revs a JOIN rev
 before AS (SELECT p.source, p.m, p.source_revision, h.entity_type, h.entity_id, h.h FROM pairs p JOIN held h ON h.source = p.source AND h.n = p.n),
 after AS (SELECT p.source, p.m, p.source_revision, h.entity_type, h.entity_id, h.h FROM pairs p JOIN held h ON h.source = p.source AND h.n = p.m)
 SELECT source, source_revision, entity_type, entity_id, CASE WHEN b.h IS NULL THEN 'added' WHEN a.h IS NULL THEN 'removed' ELSE 'changed' END AS change_kind FROM before b FULL JOIN after a USING (source, source_revision, entity_type, entity_id) WHERE b.h IS DISTINCT FROM a.h""",
-    "p7_found": """
-WITH RECURSIVE up AS (SELECT child_type AS t, child_id AS i, any_value(parent_type) AS pt, any_value(parent_id) AS pi FROM containments WHERE parent_id IS NOT NULL GROUP BY ALL),
-n AS (SELECT count(*) AS n FROM up),
-walk AS (SELECT t, i, pt, pi, 1 AS d FROM up UNION ALL SELECT w.t, w.i, u.pt, u.pi, d + 1 FROM walk w JOIN up u ON u.t = w.pt AND u.i = w.pi, n WHERE d <= n.n),
-ends AS (SELECT w.t, w.i, w.pt, w.pi, w.d FROM walk w LEFT JOIN up u ON u.t = w.pt AND u.i = w.pi WHERE u.t IS NULL)
+    "p7_found": f"""{_WALK}
 SELECT up.t AS node_type, up.i AS node_id, coalesce(e.pt, 'cycle') AS root_type, coalesce(e.pi, -1) AS root_id, coalesce(e.d, -1) AS depth FROM up LEFT JOIN ends e ON e.t = up.t AND e.i = up.i""",
+    "p7_descendants": f"{_WALK} SELECT w.pt AS node_type, w.pi AS node_id, w.t AS descendant_type, w.i AS descendant_id, w.d AS distance FROM walk w JOIN ends e ON e.t = w.t AND e.i = w.i",
+    "p7_paths": f"""{_WALK}, ways AS (SELECT w.t, w.i, string_agg(w.pt || ':' || w.pi, '/' ORDER BY w.d DESC) || '/' || w.t || ':' || w.i AS path, max(w.d) AS depth FROM walk w JOIN ends e ON e.t = w.t AND e.i = w.i GROUP BY w.t, w.i)
+SELECT up.t AS node_type, up.i AS node_id, path, coalesce(depth, -1) AS depth FROM up LEFT JOIN ways w ON w.t = up.t AND w.i = up.i""",
+    "p1_found": f"""{_DOCUMENTS},
+numbered AS (SELECT file_id, d, row_number() OVER (PARTITION BY file_id ORDER BY pos) - 1 AS child_no FROM documents),
+flags AS (SELECT file_id, child_no, CASE WHEN json_type(f) = 'VARCHAR' THEN TRY_CAST(f ->> '$' AS JSON) ELSE f END AS f FROM (SELECT file_id, child_no, unnest([d -> '$.infoboxFlags', d -> '$.detail.infoboxFlags']) AS f FROM numbered WHERE d ->> '$.questId' IS NOT NULL)),
+sources AS (SELECT row_id, unnest(map_entries(provenance)) AS e FROM source_records)
+SELECT 'provenance_source' AS child_table, row_id AS parent_id, e.key AS child_name, CAST(unnest(range(len(e.value.sources))) AS INTEGER) AS child_no FROM sources
+UNION ALL SELECT 'candidate', conflict_id, c.source, CAST(n AS INTEGER) FROM (SELECT conflict_id, unnest(candidates) AS c, unnest(range(len(candidates))) AS n FROM conflicts) WHERE c IS NOT NULL
+UNION ALL SELECT DISTINCT 'daily', file_id, 'daily', CAST(child_no AS INTEGER) FROM flags WHERE lower(trim(f ->> '$.daily')) IN ('true', 'yes', 'y', 'on', 't') OR TRY_CAST(f ->> '$.daily' AS DOUBLE) <> 0""",
+    "p5_spawns": f"""{_DOCUMENTS},
+newest AS (SELECT CAST(d ->> '$.id' AS BIGINT) AS i, arg_max(d, (coalesce(d ->> '$.fetchedAt', ''), coalesce(modified_at, TIMESTAMP '0001-01-01'))) AS d FROM documents JOIN raw_files USING (file_id) WHERE d ->> '$.questId' IS NULL GROUP BY 1),
+zones_of AS (SELECT DISTINCT i, CAST(CAST(unnest(CAST(d -> '$.spawns[*].zoneId' AS JSON[])) ->> '$' AS DOUBLE) AS BIGINT) AS zone_id FROM newest)
+SELECT zone_id, count(*) AS n_objects FROM zones_of GROUP BY 1""",
     "p5_found": r"""
 WITH docs AS (SELECT replace(replace(file_text, chr(65279), ''), chr(13), '') AS t FROM raw_files WHERE length(trim(file_text)) > 0),
 whole AS (SELECT CAST(t AS JSON) AS j FROM docs WHERE json_valid(t)),

@@ -5,48 +5,63 @@ import pytest
 from quernel.sources import catalogue as c
 from quernel.sources.lua import LuaError
 
-TAGS = frozenset({"CURRENT", "OBJECTIVES"})
-
-NESTED = """root({
-	n(100, { -- Test NPC
-		["lvl"] = 60,
-		["isRaid"] = true,
-		["groups"] = {
-			i(200, { -- Test item
-				["name"] = "Explicit Item Name",
-			}),
-			o(300), -- Test object
-			ach(400, { -- Test achievement
-				["description"] = "text -- still text",
-			}),
-		},
-	}),
-})"""
-
-
-def test_spans_labels_fields_and_containment(spark):
-    files = spark.createDataFrame([("a.lua", NESTED), ("b.lua", ""), ("c.lua", None), ("d.lua", "-- #if X\nq(1)")], "path string, text string")
-    found = c.read_catalogue(files, {}).cache()
-    rows = {r.entity_type: r for r in found.collect()}
-    assert len(rows) == 4 and found.count() == 4
-    assert rows["npc"].label == "Test NPC" and rows["npc"].fields == {"lvl": "60", "isRaid": "true"}
-    assert rows["item"].fields == {"name": '"Explicit Item Name"'} and rows["item"].inherited == {"lvl": "60"} and rows["object"].label == "Test object"
-    assert rows["achievement"].fields == {"description": '"text -- still text"'}
-    links = {(r.parent_type, r.parent_id, r.child_type, r.child_id) for r in c.contained_in(found).collect()}
-    assert links == {("npc", 100, "item", 200), ("npc", 100, "object", 300), ("npc", 100, "achievement", 400)}
-
-
-def test_branches_keep_places():
-    text = "-- #if AFTER TBC\nq(300)\n-- #elseif CURRENT\nq(301)\n-- #if NOT OBJECTIVES\nq(302)\n-- #else\nq(303)\n-- #endif\n-- #endif\nq(304)"
-    out = c.blank_branches(text, TAGS, (1, 60))
-    assert len(out) == len(text) and [n for n in range(300, 305) if f"q({n})" in out] == [301, 303, 304]
-    assert out.index("q(303)") == text.index("q(303)")
-    for bad in ("-- #endif", "-- #if X\n", "-- #else\n"):
+KINDS = {"n": "npc", "i": "item", "o": "object", "ach": "achievement", "q": "quest"}
+
+
+def grown(r, depth, above, links, labels, ids):
+    """Text of a declaration with others inside it, down to depth; notes who stands in whom and what it is called."""
+    call, number = r.choice(list(KINDS)), next(ids)
+    me = (KINDS[call], number)
+    if above:
+        links.add((*above, *me))
+    labels[me] = f"what {number} is"
+    inside = [grown(r, depth - 1, me, links, labels, ids) for _ in range(r.randint(0, 3))] if depth else []
+    groups = f"groups = {{ {' '.join(inside)} }}," if inside else ""
+    return f"{call}({number}, {{ -- {labels[me]}\n mark = 'm{number} -- no remark', {groups} }}),\n"
+
+
+def test_random_trees(spark):
+    """Containment, labels and fields of trees that were made here."""
+    import itertools
+    import random
+
+    r, ids, links, labels = random.Random(6), itertools.count(11), set(), {}
+    files = [(f"f{n}", f"top({{\n{grown(r, 3, None, links, labels, ids)}{grown(r, 2, None, links, labels, ids)}}})") for n in range(5)]
+    found = c.read_catalogue(spark.createDataFrame([*files, ("empty", ""), ("none", None), ("cut", "-- #if X\nq(1)")], "path string, text string"), {}).cache()
+    assert {(x.entity_type, x.entity_id): x.label for x in found.collect()} == labels and len(links) > 10
+    assert all(x.fields == {"mark": f'"m{x.entity_id} -- no remark"'} for x in found.collect())
+    assert {(x.parent_type, x.parent_id, x.child_type, x.child_id) for x in c.contained_in(found).collect()} == links
+
+
+def test_inherited_fields_and_labels_behind(spark):
+    text = "q(5, { tier = 3, groups = { o(6), -- the well\n i(7, { tier = 4 }) } })"
+    rows = {x.entity_id: x for x in c.read_catalogue(spark.createDataFrame([("a", text)], "path string, text string"), {"x": 1}).collect()}
+    assert rows[6].label == "the well" and rows[7].fields == {"tier": "4"} and rows[5].fields == {"tier": "3"}
+
+
+@pytest.mark.parametrize("tags", [frozenset(), frozenset({"RED"}), frozenset({"BLUE"}), frozenset({"RED", "BLUE"})])
+def test_branches_keep_places(tags):
+    """Of a branch in a branch what remains follows from the tags, and keeps its place."""
+    lines = ["-- #if RED", "o(71)", "-- #if NOT BLUE", "o(72)", "-- #endif", "-- #elseif BLUE", "o(73)", "-- #else", "o(74)", "-- #endif", "o(75)"]
+    text = "\n".join(lines)
+    red, blue = "RED" in tags, "BLUE" in tags
+    stays = {71: red, 72: red and not blue, 73: blue and not red, 74: not red and not blue, 75: True}
+    out = c.blank_branches(text, tags, ())
+    assert len(out) == len(text) and {n: f"o({n})" in out for n in stays} == stays
+    assert all(out.index(f"o({n})") == text.index(f"o({n})") for n, here in stays.items() if here)
+
+
+def test_branches_that_do_not_close():
+    for bad in ("o(1)\n-- #endif", "-- #if RED\no(1)", "-- #else\no(1)", "-- #elseif RED\n-- #endif"):
         with pytest.raises(LuaError):
-            c.blank_branches(bad, TAGS, ())
-    holds = lambda x: c.applies(x, TAGS, (1, 60, 1))
-    assert holds("CURRENT") and holds("BEFORE WRATH") and holds("AFTER CLASSIC") and holds("AFTER 1.60") and holds("BEFORE 1.60.2") and holds("NOT AFTER CATA")
-    assert not holds("") and not holds("AFTER 2") and not holds("BEFORE CLASSIC") and not holds("SOMETHING") and not holds("AFTER x.y")
+            c.blank_branches(bad, frozenset({"RED"}), ())
+
+
+@pytest.mark.parametrize("minor", [0, 59, 60, 61])
+def test_conditions_on_versions(minor):
+    holds = lambda x: c.applies(x, frozenset({"RED"}), (1, minor, 5))
+    assert holds("AFTER 1.60") == (minor >= 60) and holds("BEFORE 1.60") == (minor < 60) and holds("NOT AFTER 1.60") == (minor < 60)
+    assert holds("RED") and not holds("BLUE") and not holds("") and not holds("AFTER one") and not holds("AFTER 9")
 
 
 def test_constants_inheritance_and_evidence():
