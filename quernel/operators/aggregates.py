@@ -18,13 +18,16 @@ def mode_vote(df: DataFrame, key: str, choice: str) -> DataFrame:
     return votes.groupBy(key).agg(best, F.round(F.max("n") / F.sum("n"), 3).alias("confidence"), F.sum("n").alias("samples"))
 
 
-def inverted_index(df: DataFrame, key: str, member: str) -> DataFrame:
+def inverted_index(df: DataFrame, key: str, member: str, width: int | None = None) -> DataFrame:
     """key, members: the distinct members of each key in order, joined by commas.
 
-    Distinct pairs are formed before the members of a key come together.
+    With a width, for whole numbers as members, also chunk: the member divided by width, rounded down. A key then
+    has a row for each chunk, with at most width members however many the key has; without one a key's members
+    must fit a row. Null keys and members are left out. Distinct pairs are formed before members come together.
     """
     pairs = df.select(key, member).dropna().distinct()
-    return pairs.groupBy(key).agg(F.concat_ws(",", F.transform(F.array_sort(F.collect_list(member)), lambda m: m.cast("string"))).alias("members"))
+    chunk = [F.floor(F.col(member) / width).alias("chunk")] if width else []
+    return pairs.groupBy(key, *chunk).agg(F.concat_ws(",", F.transform(F.array_sort(F.collect_list(member)), lambda m: m.cast("string"))).alias("members"))
 
 
 def number_rows(df: DataFrame, key: str, parts: int = 64) -> DataFrame:

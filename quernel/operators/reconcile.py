@@ -2,7 +2,9 @@
 
 Works on the long form FIELD, one row per record and field: entity_type, entity_id, source,
 revision, field, value (canonical JSON text or null), state (why there is no usable value, or
-null). All steps aggregate by the entity key first, so Spark plans them on one exchange.
+null). Equal observations combine on an exchange of their own, before which each task has combined its
+own, so an entity with very many rows does no harm; what is left is bounded by sources and fields, is
+brought together by entity once, and both groupings above it need no further exchange.
 """
 
 from __future__ import annotations
@@ -46,12 +48,21 @@ def explode_fields(records: DataFrame) -> DataFrame:
     return long.select(*KEY, "source", "revision", "field", F.when(state.isNull(), raw).alias("value"), state.alias("state"))
 
 
+#: Rows up to which a policy is broadcast, of under 200 bytes each; a larger one is joined by a shuffle.
+POLICY_ROWS = 100_000
+
+
+def _policy(policy: DataFrame) -> DataFrame:
+    rows = policy.select("entity_type", "field", "source", "priority")
+    return F.broadcast(rows) if rows.limit(POLICY_ROWS + 1).count() <= POLICY_ROWS else rows
+
+
 def group_values(fields: DataFrame, policy: DataFrame) -> DataFrame:
     """One row per entity, field and distinct value (or state): owners, and the best rank an owner has in policy.
 
-    policy: entity_type, field, source, priority; small and joined by whatever plan its size asks for.
+    policy: entity_type, field, source, priority; broadcast if it has at most POLICY_ROWS rows.
     """
-    ranked = fields.join(policy.select("entity_type", "field", "source", "priority"), ["entity_type", "field", "source"], "left")
+    ranked = fields.join(_policy(policy), ["entity_type", "field", "source"], "left")
     owners = F.array_sort(F.collect_set(F.struct("source", "revision")))
     return ranked.groupBy(*KEY, "field", "value", "state").agg(owners.alias("owners"), F.min("priority").alias("priority"))
 
@@ -68,7 +79,7 @@ def resolve(fields: DataFrame, policy: DataFrame) -> DataFrame:
     grouped = group_values(fields, policy)
     item = F.struct(F.col("priority").alias("priority"), F.col("value").alias("value"), F.col("owners").alias("owners"))
     has = F.col("value").isNotNull()
-    merged = grouped.groupBy(*KEY, "field").agg(
+    merged = grouped.repartition(*KEY).groupBy(*KEY, "field").agg(
         F.array_sort(F.collect_list(F.when(has, item))).alias("_values"),
         F.array_sort(F.collect_list(F.when(~has, F.struct(state_rank(F.col("state")).alias("rank"), F.col("state").alias("state"), F.col("owners").alias("owners"))))).alias("_states"),
     )

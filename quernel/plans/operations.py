@@ -30,6 +30,10 @@ def query(sql: str | None = None) -> Callable:
     return keep
 
 
+#: Numbers to a row of an index.
+_WIDTH = 1 << 20
+
+
 # ---- states, edges and hierarchies of the entity tables
 
 
@@ -93,9 +97,9 @@ def containment_edges(spark: SparkSession, sf: str) -> DataFrame:
     return rows.groupBy("parent_type", "parent_id", "child_type", "child_id").agg(F.count("*").alias("n_observed"), F.concat_ws("|", F.array_sort(F.collect_set("source_path"))).alias("paths"))
 
 
-@query("""SELECT ui_map_id, string_agg(area_id, ',' ORDER BY area_id) AS areas FROM zones WHERE ui_map_id IS NOT NULL GROUP BY 1""")
+@query("""SELECT ui_map_id, area_id // 1048576 AS chunk, string_agg(area_id, ',' ORDER BY area_id) AS areas FROM zones WHERE ui_map_id IS NOT NULL GROUP BY ALL""")
 def reverse_map(spark: SparkSession, sf: str) -> DataFrame:
-    return aggregates.inverted_index(table(spark, sf, "zones"), "ui_map_id", "area_id").withColumnRenamed("members", "areas")
+    return aggregates.inverted_index(table(spark, sf, "zones"), "ui_map_id", "area_id", _WIDTH).withColumnRenamed("members", "areas")
 
 
 @query("""SELECT d.doc_id, z.zone_name, z.ui_map_id FROM documents d LEFT JOIN zones z ON d.zone_id = z.area_id""")
@@ -143,9 +147,9 @@ def mode_vote(spark: SparkSession, sf: str) -> DataFrame:
     return aggregates.mode_vote(table(spark, sf, "customer"), "c_nationkey", "c_mktsegment")
 
 
-@query("""SELECT l_suppkey, string_agg(k, ',' ORDER BY k) AS members FROM (SELECT DISTINCT l_suppkey, l_orderkey AS k FROM lineitem) GROUP BY 1""")
+@query("""SELECT l_suppkey, k // 1048576 AS chunk, string_agg(k, ',' ORDER BY k) AS members FROM (SELECT DISTINCT l_suppkey, l_orderkey AS k FROM lineitem) GROUP BY ALL""")
 def inverted_orders(spark: SparkSession, sf: str) -> DataFrame:
-    return aggregates.inverted_index(table(spark, sf, "lineitem"), "l_suppkey", "l_orderkey")
+    return aggregates.inverted_index(table(spark, sf, "lineitem"), "l_suppkey", "l_orderkey", _WIDTH)
 
 
 @query("""WITH n AS (SELECT p_partkey, row_number() OVER (ORDER BY p_partkey) AS r FROM part) SELECT CAST(ceil(r / 500) AS BIGINT) AS shard_no, min(p_partkey) AS id_first, max(p_partkey) AS id_last, count(*) AS n_rows FROM n GROUP BY 1""")
